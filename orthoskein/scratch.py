@@ -62,8 +62,10 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; for file scans the files' size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size of the files that ``df`` scans; 0 where the sources tell none."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)
 
 
 def shuffle_width(spark: SparkSession) -> int:
