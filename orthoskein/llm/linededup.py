@@ -159,7 +159,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     small = held // 8 <= BROADCAST_FILTERS
     sent = spark.sparkContext.broadcast([tuple(r) for r in filters.collect()]) if small else None
     suspects = stash(texts.mapInArrow(_suspects(sent, shards), "doc_id long, stamp long, line int, key binary"), "line-suspects")
-    first = suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    # Written, so that both sides of the join are plain exchanges: small ones are broadcast, hot keys split.
+    first = stash(suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"), "line-first")
     lost = suspects.join(first, "key").where("doc_id > first")
     return lost.groupBy("doc_id", "stamp").agg(F.collect_set("line").alias("dropped"))
 

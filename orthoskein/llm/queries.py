@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, neardup
+from . import fingerprint, linededup, mixing, neardup
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -27,7 +31,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op5_near_dedup, op6_line_dedup, op7_mixing)}
+QUERIES = {f.__name__: f for f in (op3_fingerprint, op5_near_dedup, op6_line_dedup, op7_mixing)}
 
 ORACLES = {
     "op6_line_dedup": r"""
