@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, linededup, mixing, neardup
+from . import fingerprint, langid, linededup, mixing, neardup
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, langid.fit(docs), ["doc_id"])
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -31,7 +37,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_fingerprint, op5_near_dedup, op6_line_dedup, op7_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_fingerprint, op5_near_dedup, op6_line_dedup, op7_mixing)}
 
 ORACLES = {
     "op6_line_dedup": r"""
