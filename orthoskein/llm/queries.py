@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, langid, linededup, mixing, neardup
+from . import fingerprint, langid, linededup, mixing, neardup, warc
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archive(*warc.write_archive(read(spark, sf_dir, "pages").select("page_id", "url", "html")))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -37,7 +41,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_fingerprint, op5_near_dedup, op6_line_dedup, op7_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing)}
 
 ORACLES = {
     "op6_line_dedup": r"""
