@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, langid, linededup, mixing, neardup, warc
+from . import fingerprint, langid, linededup, mixing, neardup, sentencepiece, warc
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentencepiece.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return out.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "tokens", "exact")
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -41,7 +46,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_sentencepiece, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing)}
 
 ORACLES = {
     "op6_line_dedup": r"""
