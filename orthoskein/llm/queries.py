@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, langid, linededup, mixing, neardup, sentencepiece, warc
+from . import ann, fingerprint, langid, linededup, mixing, neardup, sentencepiece, warc
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,7 +46,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_sentencepiece, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing)}
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_sentencepiece, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing, op8_nearest)}
 
 ORACLES = {
     "op6_line_dedup": r"""
