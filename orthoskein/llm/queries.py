@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprint, langid, linededup, mixing, neardup, pii, sentencepiece, warc
+from . import ann, fingerprint, langid, linededup, mixing, neardup, pii, sentencepiece, sufdedup, warc
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,11 +50,15 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sufdedup.suffix_dedup(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_sentencepiece, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing, op8_nearest, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_sentencepiece, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing, op8_nearest, op9_suffix_dedup, op10_pii)}
 
 ORACLES = {
     "op6_line_dedup": r"""
