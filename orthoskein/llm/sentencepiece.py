@@ -35,6 +35,7 @@ SPACE = "▁"
 #: Words remembered per task; beyond, the memory starts anew.
 REMEMBERED = 200_000
 LONGEST_REMEMBERED = 64
+UNREACHED = float("-inf")
 
 
 @dataclass
@@ -46,9 +47,17 @@ class Model:
     byte_ids: list[int]
     byte_score: float
     _automaton: object = field(default=None, repr=False)
+    _letters: frozenset | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_automaton": None}
+        return {**self.__dict__, "_automaton": None, "_letters": None}
+
+    @property
+    def letters(self) -> frozenset:
+        """Characters that are pieces."""
+        if self._letters is None:
+            self._letters = frozenset(p for p in self.scores if len(p) == 1)
+        return self._letters
 
     @property
     def automaton(self):
@@ -85,74 +94,86 @@ def load(path: str = MODEL) -> Model:
 
 
 def viterbi(model: Model, word: str) -> list[int]:
-    """Ids of the best segmentation of ``word``; its marks are spaces' marks."""
+    """Ids of the best segmentation of ``word``, whose spaces are marks."""
     n = len(word)
-    best, back = [0.0] + [None] * n, [None] * (n + 1)
-    at = 0
-
-    def uncovered(upto: int) -> None:
-        """Positions that no piece reached take a character's bytes."""
-        nonlocal at
-        while at < upto:
-            at += 1
-            if best[at] is None:
-                size = len(word[at - 1].encode())
-                best[at], back[at] = best[at - 1] + size * model.byte_score, (1, -1)
-
-    for end, (size, i, score) in model.automaton.iter(word):
-        end += 1
-        uncovered(end - 1)
-        total = best[end - size] + score
-        if best[end] is None or total > best[end]:
-            best[end], back[end] = total, (size, i)
-    uncovered(n)
+    best, size_at, id_at = [0.0] + [UNREACHED] * n, [1] * (n + 1), [-1] * (n + 1)
+    if model.letters.issuperset(word):
+        # Every position has a piece that ends there, so all are reached in order.
+        for end, (size, i, score) in model.automaton.iter(word):
+            end += 1
+            total = best[end - size] + score
+            if total > best[end]:
+                best[end], size_at[end], id_at[end] = total, size, i
+    else:
+        at = 0
+        for end, (size, i, score) in [*model.automaton.iter(word), (n, (0, -1, 0.0))]:
+            while at < min(end, n):
+                # Where no piece ends, a character's bytes do.
+                at += 1
+                if best[at] == UNREACHED:
+                    best[at] = best[at - 1] + len(word[at - 1].encode()) * model.byte_score
+            if size:
+                total = best[end + 1 - size] + score
+                if total > best[end + 1]:
+                    best[end + 1], size_at[end + 1], id_at[end + 1] = total, size, i
     ids: list[int] = []
     while n:
-        size, i = back[n]
-        if i >= 0:
-            ids.append(i)
+        if id_at[n] >= 0:
+            ids.append(id_at[n])
         else:
             ids.extend(model.byte_ids[b] for b in reversed(word[n - 1].encode()))
-        n -= size
+        n -= size_at[n]
     ids.reverse()
     return ids
 
 
-_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_WORDS = re.compile(" *[^ ]+| +")
+
+
+class _Known(dict):
+    """Encodings of words, as bytes of int32; misses are encoded and kept."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> bytes:
+        found = np.array(viterbi(self.model, word.replace(" ", SPACE)), np.int32).tobytes()
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
+        return found
 
 
 class Encoder:
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, list[int]] = {}
-        self.mark = [model.byte_ids[b] for b in SPACE.encode()]
+        self.known = _Known(model)
+        self.mark = np.array([model.byte_ids[b] for b in SPACE.encode()], np.int32).tobytes()
+        self.pieces = np.frombuffer(b"".join(model.text_of), np.uint8)
+        self.size = np.array([len(t) for t in model.text_of])
+        self.begin = np.cumsum(self.size) - self.size
+
+    def encode_bytes(self, text: str) -> bytes:
+        """Token ids as bytes of int32; like the library's, with a space put in front."""
+        if not text:
+            return b""
+        # The first part gets the space; literal marks stand between the parts.
+        parts = (" " + text).split(SPACE)
+        return self.mark.join([b"".join(map(self.known.__getitem__, _WORDS.findall(part))) for part in parts])
 
     def encode(self, text: str) -> list[int]:
-        """Token ids; like the library's, with a space put in front."""
-        ids: list[int] = []
-        if not text:
-            return ids
-        for k, part in enumerate(text.split(SPACE)):
-            if k:
-                ids += self.mark
-            elif not part:
-                part = ""
-            marked = (SPACE if not k else "") + part.replace(" ", SPACE)
-            known = self.known
-            for word in _WORDS.findall(marked):
-                found = known.get(word)
-                if found is None:
-                    found = viterbi(self.model, word)
-                    if len(word) <= LONGEST_REMEMBERED:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[word] = found
-                ids += found
-        return ids
-
-    def decode(self, ids: list[int]) -> str:
-        table = self.model.text_of
-        return b"".join([table[i] for i in ids])[1:].decode("utf-8", "replace")
+        return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
+
+    def decode(self, ids) -> str:
+        ids = np.asarray(ids, np.int64)
+        size = self.size[ids]
+        total = np.cumsum(size)
+        if not len(ids):
+            return ""
+        at = np.repeat(self.begin[ids] - total + size, size) + np.arange(total[-1])
+        return self.pieces[at].tobytes()[1:].decode("utf-8", "replace")
 
 
 def _encode(sent, names: list[str]):
@@ -161,9 +182,13 @@ def _encode(sent, names: list[str]):
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                ids = [None if t is None else np.array(encoder.encode(t), np.int32) for t in part.column("__text").to_pylist()]
-                same = [x is None or encoder.decode(x) == t for x, t in zip(ids, part.column("__text").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(ids, pa.list_(pa.int32())), pa.array(same)], names=[*names, "tokens", "exact"])
+                texts = part.column("__text").to_pylist()
+                found = [b"" if t is None else encoder.encode_bytes(t) for t in texts]
+                same = [t is None or encoder.decode(np.frombuffer(x, np.int32)) == t for x, t in zip(found, texts, strict=True)]
+                ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(found), np.int32))
+                tokens = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([t is None for t in texts]))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), tokens, pa.array(same)], names=[*names, "tokens", "exact"])
 
     return run
 
