@@ -9,7 +9,8 @@ negatives, so nothing is lost; false positives end in the exact group-by.
 
 Defined results: a null or empty text is one empty line; rows that share a
 doc_id are one document; rows without doc_id neither claim nor lose lines;
-a document whose lines all go keeps an empty text; other columns are kept.
+a document whose lines all go keeps an empty text; other columns are kept, but
+for those named n_lines or n_dropped, which are replaced.
 """
 
 from __future__ import annotations
@@ -168,7 +169,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
     """Documents with repeated lines taken out of ``text``; adds n_lines, n_dropped."""
     lost = (repeated_lines(docs) if dropped is None else dropped).select(F.col("doc_id").alias("__id"), F.col("stamp").alias("__stamp"), F.col("dropped").alias("__gone"))
-    stamped = docs.withColumn("__s", F.xxhash64("text"))
+    others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    stamped = docs.select(*others).withColumn("__s", F.xxhash64("text"))
     joined = stamped.join(lost, (F.col("doc_id") == F.col("__id")) & (F.col("__s") == F.col("__stamp")), "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
@@ -178,5 +180,5 @@ def line_dedup(docs: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
         .withColumn("__kept", kept)
         .withColumn("n_lines", F.size("__lines").cast("long"))
         .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
-        .select(*[F.col("__kept").alias("text") if c == "text" else F.col(c) for c in docs.columns], "n_lines", "n_dropped")
+        .select(*[F.col("__kept").alias("text") if c == "text" else F.col(c) for c in others], "n_lines", "n_dropped")
     )

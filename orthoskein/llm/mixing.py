@@ -80,13 +80,13 @@ def mixing_plan(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
 
 def _join_sources(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Join on source, null safe: broadcast below a checked size, salted beyond."""
-    keyed = targets.select(F.col("source").alias("s"), "source_size", "target")
+    keyed = targets.withColumnRenamed("source", "__s")
     if targets.count() <= BROADCAST_SOURCES:
-        return sized.join(F.broadcast(keyed), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    salted = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = sized.withColumn("salt_", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    both = F.col("source").eqNullSafe(F.col("s")) & (F.col("salt_") == F.col("salt"))
-    return spread.join(salted, both).drop("s", "salt", "salt_")
+        return sized.join(F.broadcast(keyed), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    salted = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = sized.withColumn("__own", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    both = F.col("source").eqNullSafe(F.col("__s")) & (F.col("__own") == F.col("__salt"))
+    return spread.join(salted, both).drop("__s", "__salt", "__own")
 
 
 def mix(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
@@ -99,11 +99,7 @@ def mix(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
     sized = docs.select(F.col("source"), word_count(F.col("text")).alias("size"))
     targets = stash(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **shares), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rates = targets.select("source", rate.alias("__rate"))
     extra = (unit_hash(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")).cast("int")
     copies = (F.floor("__rate").cast("int") + extra).cast("int")
-    return (
-        _join_sources(docs, targets)
-        .withColumn("__rate", rate)
-        .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies)))
-        .select(*columns)
-    )
+    return _join_sources(docs, rates).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*columns)
