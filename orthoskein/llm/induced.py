@@ -19,12 +19,14 @@ import heapq
 import os
 import shutil
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
 #: Tuples that a queue keeps in memory, and the block in which it is read.
 IN_MEMORY = 8_000_000
+NAMES_IN_MEMORY = 500_000
 BLOCK = 1 << 18
 #: Common prefixes are told up to this length.
 CAP = 127
@@ -95,7 +97,7 @@ class NameQueue:
     """Heap of (name, order of arrival, position); the larger half spills as sorted runs."""
 
     def __init__(self, spool: Spool, limit: int):
-        self.spool, self.limit = spool, max(limit, 2)
+        self.spool, self.limit = spool, max(2, min(limit, NAMES_IN_MEMORY))
         self.heap: list[tuple[int, int, int]] = []
         self.heads: list[tuple[int, int, int, int]] = []
         self.runs: dict[int, Iterator] = {}
@@ -181,8 +183,9 @@ def order_of_names(s: np.ndarray, spool: Spool, limit: int) -> np.ndarray:
         return np.argsort(s)
     n, up = len(s), ascending(s)
     stars = order_of_stars(s, up, spool, limit)
-    text, rises = s.tolist(), up.tolist()
-    queue, falls, k = NameQueue(spool, limit), [], 0
+    # Packed arrays: eight bytes a name, and one for its type.
+    text, rises = array("q", s.astype(np.int64).tobytes()), up.tobytes()
+    queue, falls, k = NameQueue(spool, limit), array("q"), 0
     queue.push(text[n - 1], n - 1)
     while True:
         least = queue.least()
@@ -196,7 +199,7 @@ def order_of_names(s: np.ndarray, spool: Spool, limit: int) -> np.ndarray:
             break
         if at and not rises[at - 1]:
             queue.push(text[at - 1], at - 1)
-    queue, out, k = NameQueue(spool, limit), [], len(falls) - 1
+    queue, out, k = NameQueue(spool, limit), array("q"), len(falls) - 1
     while True:
         least = queue.least()
         if least is not None and (k < 0 or -least >= text[falls[k]]):
@@ -209,7 +212,7 @@ def order_of_names(s: np.ndarray, spool: Spool, limit: int) -> np.ndarray:
         out.append(at)
         if at and rises[at - 1]:
             queue.push(-text[at - 1], at - 1)
-    return np.array(out[::-1], np.int64)
+    return np.frombuffer(out, np.int64)[::-1].copy()
 
 
 def order_of_stars(s: np.ndarray, up: np.ndarray, spool: Spool, limit: int) -> np.ndarray:
