@@ -85,7 +85,8 @@ class ByteQueue:
             del at, lcp
             os.remove(name)
             os.remove(name + "l")
-        for at, lcp in memory:
+        if memory:
+            at, lcp = (np.concatenate(x) for x in zip(*memory, strict=True))
             for a in range(0, len(at), BLOCK):
                 yield at[a : a + BLOCK], lcp[a : a + BLOCK]
 
@@ -93,19 +94,23 @@ class ByteQueue:
         return bool(self.memory[byte] or self.disk[byte])
 
 
+PLACE = 40
+_LOW = (1 << PLACE) - 1
+
+
 class NameQueue:
-    """Heap of (name, order of arrival, position); the larger half spills as sorted runs."""
+    """Heap of (name, order of arrival, position), as one integer; the larger half spills as sorted runs."""
 
     def __init__(self, spool: Spool, limit: int):
         self.spool, self.limit = spool, max(2, min(limit, NAMES_IN_MEMORY))
-        self.heap: list[tuple[int, int, int]] = []
-        self.heads: list[tuple[int, int, int, int]] = []
-        self.runs: dict[int, Iterator] = {}
+        self.heap: list[int] = []
+        self.heads: list[tuple[int, int]] = []
+        self.runs: list[Iterator[int]] = []
         self.arrived = 0
 
     def push(self, name: int, at: int) -> None:
         self.arrived += 1
-        heapq.heappush(self.heap, (name, self.arrived, at))
+        heapq.heappush(self.heap, (((name << PLACE) + self.arrived) << PLACE) + at)
         if len(self.heap) > self.limit:
             self._spill()
 
@@ -113,35 +118,36 @@ class NameQueue:
         self.heap.sort()
         half = len(self.heap) // 2
         file = self.spool.name()
-        np.array(self.heap[half:], np.int64).tofile(file)
+        rows = np.array([(k >> 2 * PLACE, k >> PLACE & _LOW, k & _LOW) for k in self.heap[half:]], np.int64)
+        rows.tofile(file)
         del self.heap[half:]
-        run = len(self.runs)
-        self.runs[run] = self._run(file)
-        self._advance(run)
+        self.runs.append(self._run(file))
+        self._advance(len(self.runs) - 1)
 
     @staticmethod
-    def _run(file: str) -> Iterator[tuple[int, int, int]]:
+    def _run(file: str) -> Iterator[int]:
         rows = np.memmap(file, np.int64, "r").reshape(-1, 3)
         for a in range(0, len(rows), 4096):
-            yield from map(tuple, rows[a : a + 4096].tolist())
+            for name, arrived, at in rows[a : a + 4096].tolist():
+                yield (((name << PLACE) + arrived) << PLACE) + at
 
     def _advance(self, run: int) -> None:
-        row = next(self.runs[run], None)
-        if row is not None:
-            heapq.heappush(self.heads, (*row, run))
+        key = next(self.runs[run], None)
+        if key is not None:
+            heapq.heappush(self.heads, (key, run))
 
     def least(self) -> int | None:
-        """Name of the least tuple."""
-        if self.heads and (not self.heap or self.heads[0][:3] < self.heap[0]):
+        """The least tuple; its name is in the bits above both places."""
+        if self.heads and (not self.heap or self.heads[0][0] < self.heap[0]):
             return self.heads[0][0]
-        return self.heap[0][0] if self.heap else None
+        return self.heap[0] if self.heap else None
 
-    def pop(self) -> int:
-        if self.heads and (not self.heap or self.heads[0][:3] < self.heap[0]):
-            *_, at, run = heapq.heappop(self.heads)
-            self._advance(run)
-            return at
-        return heapq.heappop(self.heap)[2]
+    def pop(self) -> None:
+        """Drop the least tuple."""
+        if self.heads and (not self.heap or self.heads[0][0] < self.heap[0]):
+            self._advance(heapq.heappop(self.heads)[1])
+        else:
+            heapq.heappop(self.heap)
 
 
 def ascending(s: np.ndarray) -> np.ndarray:
@@ -185,15 +191,17 @@ def order_of_names(s: np.ndarray, spool: Spool, limit: int) -> np.ndarray:
     stars = order_of_stars(s, up, spool, limit)
     # Packed arrays: eight bytes a name, and one for its type.
     text, rises = array("q", s.astype(np.int64).tobytes()), up.tobytes()
+    order, last = array("q", stars.astype(np.int64).tobytes()), len(stars)
     queue, falls, k = NameQueue(spool, limit), array("q"), 0
     queue.push(text[n - 1], n - 1)
     while True:
         least = queue.least()
-        if least is not None and (k == len(stars) or least <= text[stars[k]]):
-            at = queue.pop()
+        if least is not None and (k == last or least >> 2 * PLACE <= text[order[k]]):
+            queue.pop()
+            at = least & _LOW
             falls.append(at)
-        elif k < len(stars):
-            at = int(stars[k])
+        elif k < last:
+            at = order[k]
             k += 1
         else:
             break
@@ -202,8 +210,9 @@ def order_of_names(s: np.ndarray, spool: Spool, limit: int) -> np.ndarray:
     queue, out, k = NameQueue(spool, limit), array("q"), len(falls) - 1
     while True:
         least = queue.least()
-        if least is not None and (k < 0 or -least >= text[falls[k]]):
-            at = queue.pop()
+        if least is not None and (k < 0 or -(least >> 2 * PLACE) >= text[falls[k]]):
+            queue.pop()
+            at = least & _LOW
         elif k >= 0:
             at = falls[k]
             k -= 1
