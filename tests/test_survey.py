@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orthoskein.functions import geometry as g
 from orthoskein.operators import headings, matching, metrics, pairing, raster, rotation, segments
+from orthoskein.operators.components import components
 from orthoskein.sources import metadata
 
 
@@ -49,6 +50,18 @@ def test_loop_and_inliers(spark):
     assert (row.inlier_count, row.inlier_ratio) == (82, pytest.approx(82 / 110))
 
 
+@pytest.mark.parametrize("one_task", [10**6, 0])
+def test_components(spark, one_task):
+    rng = np.random.default_rng(3)
+    edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(7, 7)] + [tuple(map(int, e)) for e in rng.integers(200, 400, (90, 2))]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), one_task).collect()}
+    assert got == {n: r for n, r in root.items() if n != r}
+
+
 def test_segments(spark):
     rows = [(i, t) for i, t in enumerate((0.0, 1.0, 2.0, 3.0, 7.0, 8.0, 9.0))]
     df = spark.createDataFrame(rows, "image_id long, t double")
