@@ -96,7 +96,8 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         stop = np.minimum(stop, begin[piece] + size[piece] - LENGTH + 1)
         ends = stop - 1 + LENGTH
         digest = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-        anchor = gram[(least[starts] & U((1 << 22) - 1)).astype(np.int64)]
+        # Least hashes are small ones; mixed again, they spread over all shards.
+        anchor = mix(gram[(least[starts] & U((1 << 22) - 1)).astype(np.int64)] + U(0xA24BAED4963EE407))
         owner = np.array([i for i, _, _ in pieces[a:b]])[piece]
         offset = np.array([o for _, o, _ in pieces[a:b]])[piece]
         yield anchor, digest, owner, starts - begin[piece] + offset, ends - starts
