@@ -7,8 +7,8 @@ linear, so a text's score is a mean of weights over its n-grams: the whole
 text is read once and never held as a vector.
 
 Training takes a bounded sample: per language about PER_LANGUAGE documents,
-chosen by a hash of their id, of at most LANGUAGES languages (the most
-frequent). Learned only from text and non-null ``lang`` of documents whose
+chosen by a hash of their id, and about SAMPLE in all, of at most LANGUAGES
+languages (the most frequent). Learned only from text and non-null ``lang`` of documents whose
 crc32(doc_id) mod 3 is not 1; prediction sees nothing but the text.
 
 Defined results: ``und`` with score 0 for null texts and texts without a
@@ -35,11 +35,13 @@ FAMILY = {
     "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
     "ru": "slavic", "uk": "slavic", "pl": "slavic", "cs": "slavic", "sk": "slavic", "bg": "slavic",
 }
-BUCKETS = 1 << 12
+BUCKETS = 1 << 11
 ORDERS = (1, 2, 3, 4)
 PAD = max(ORDERS)
 ORDER_CODE = mix(np.array(ORDERS, np.uint64))
-PER_LANGUAGE = 700
+PER_LANGUAGE = 500
+#: Documents of all languages together; each takes BUCKETS * orders floats of the driver.
+SAMPLE = 2000
 LANGUAGES = 64
 UNDETERMINED = "und"
 
@@ -69,7 +71,7 @@ def ngrams(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         for row, order in enumerate(ORDERS):
             shifted = np.concatenate([np.full(order - 1, 32, np.uint64), wide[: len(wide) - order + 1]])
             code = code | shifted << U(8 * (order - 1))
-            found[row] = (mix(code + ORDER_CODE[row]) >> U(52)).astype(np.int32)
+            found[row] = (mix(code + ORDER_CODE[row]) >> U(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
         yield a, b, found, starts
 
 
@@ -113,10 +115,10 @@ class Machines:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, rounds: int = 120, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by accelerated gradient; classes weigh alike."""
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    """Linear SVM with squared hinge loss by accelerated gradient; classes weigh alike, rows with y = 0 nothing."""
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * (y != 0)
     w, v, b, vb = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32), 0.0, 0.0
-    step = 1.0 / (2 * float((share[:, None] * x**2).sum()) + 2 + ridge)
+    step = 1.0 / (2 * float(share @ np.einsum("ij,ij->i", x, x)) + 2 + ridge)
     t = 1.0
     for _ in range(rounds):
         slack = np.maximum(0, 1 - y * (x @ v + vb))
@@ -135,27 +137,26 @@ def _slope(margin: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(x: np.ndarray, labels: list[str]) -> Machines:
-    """Machines from frequencies ``x`` (texts x BUCKETS * orders) and their languages."""
+    """Machines from frequencies ``x`` (texts x BUCKETS * orders, scaled in place) and their languages."""
     languages = sorted(set(labels))
     families = [FAMILY.get(n, n) for n in languages]
     names = sorted(set(families))
     lang = np.array([languages.index(n) for n in labels])
     fam = np.array([names.index(families[i]) for i in lang])
     scale = np.float32(1) / np.sqrt(x.mean(axis=0) + np.float32(1e-5))
-    z = x * scale
+    x *= scale
     pairs, outer, columns, bias, slopes = [], [], [], [], []
     jobs = [(i, j, True) for i, j in combinations(range(len(names)), 2)]
     jobs += [(i, j, False) for i, j in combinations(range(len(languages)), 2) if families[i] == families[j]]
     for i, j, is_family in jobs:
         of = fam if is_family else lang
-        rows = np.flatnonzero((of == i) | (of == j))
-        y = np.where(of[rows] == i, 1.0, -1.0)
-        w, b = _svm(z[rows], y)
+        y = (of == i) * 1.0 - (of == j)
+        w, b = _svm(x, y)
         pairs.append((i, j))
         outer.append(is_family)
         columns.append(w * scale)
         bias.append(b)
-        slopes.append(_slope(z[rows] @ w + b, y))
+        slopes.append(_slope((x @ w + b)[y != 0], y[y != 0]))
     weights = np.array(columns, np.float32).T if columns else np.zeros((x.shape[1], 0), np.float32)
     return Machines(languages, families, pairs, outer, np.ascontiguousarray(weights), np.array(bias), np.array(slopes))
 
@@ -206,7 +207,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANG
     counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return None
-    share = F.try_element_at(F.create_map(*[F.lit(v) for r in counts for v in (r[0], per_language / r[1])]), F.col("lang"))
+    each = min(per_language, max(1, SAMPLE // len(counts)))
+    share = F.try_element_at(F.create_map(*[F.lit(v) for r in counts for v in (r[0], each / r[1])]), F.col("lang"))
     drawn = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = usable.where(drawn < share).select("text", "lang").mapInArrow(_sparse, "lang string, at binary, share binary").collect()
     if not rows:
@@ -222,7 +224,7 @@ def _predict(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = sent.value
         for batch in batches:
-            asked = batch.column("lettered").to_pylist()
+            asked = batch.column("__lettered").to_pylist()
             texts = [t if ok else b"" for t, ok in zip(batch.column("__text").cast(pa.binary()).to_pylist(), asked, strict=True)]
             names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             rows = [i for i, ok in enumerate(asked) if ok]
@@ -230,8 +232,8 @@ def _predict(sent):
                 found, sure = machines.predict(margins(machines, [texts[i] for i in rows]))
                 for i, name, s in zip(rows, found, sure.tolist(), strict=True):
                     names[i], scores[i] = name, s
-            kept = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("__text", "lettered")]
-            kept_names = [f.name for f in batch.schema if f.name not in ("__text", "lettered")]
+            kept_names = [f.name for f in batch.schema if f.name not in ("__text", "__lettered")]
+            kept = [batch.column(n) for n in kept_names]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept_names, "lang_pred", "score"])
 
     return run
@@ -240,7 +242,7 @@ def _predict(sent):
 def identify(docs: DataFrame, machines: Machines | None, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with lang_pred and score of each whole text."""
     spark = docs.sparkSession
-    asked = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    asked = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     sent = spark.sparkContext.broadcast(machines)
     return asked.mapInArrow(_predict(sent), f"{schema}, lang_pred string, score double")

@@ -4,9 +4,11 @@ Two small collections of minhash groups are computed per text; every pair (one
 group of each) is the key of one table, so that 64 tables of four minhashes
 cost 32 minhashes instead of 256. Texts with equal shingle sets are one class.
 Buckets are not expanded into all pairs: their least members are pivots,
-tested exactly against members of other components; what is left after
-merging meets the next pivots, twice as many, until every bucket is settled.
-Each pair of a bucket is thus tested or already connected.
+tested exactly against members of other components; one pivot merges most
+groups, and what is left meets MOST_PIVOTS at a time until every bucket is
+settled. Each pair of a bucket is thus tested or already connected, unless it
+cannot link: two sets have at most as many shingles in common as each has that
+occur in any second candidate, which a twice-seen Bloom filter tells.
 
 A pair at similarity 0.85 shares a table with probability 0.99993, one at 0.9
 with 0.999998. Links are confirmed on the full sets of 64-bit shingle hashes.
@@ -27,8 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import stash, unstash
-from .components import components
+from ..operators.components import components
+from ..scratch import input_bytes, shuffle_width, stash, unstash
+from . import blooms
 from .textkernel import U, mix, shingle_sets, slices
 
 WIDTH = 5
@@ -80,6 +83,40 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "items"])
 
 
+def _pack_items(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield blooms.packed(np.asarray(batch.column("items").flatten()).view(np.uint64), shards)
+
+    return run
+
+
+def _common(sent, shards: int):
+    """Number of each set's shingles that any other set may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = blooms.Tester(sent, shards)
+        for batch in batches:
+            hit = np.append(0, np.cumsum(test(np.asarray(batch.column("items").flatten()).view(np.uint64))))
+            ends = np.cumsum(np.append(0, batch.column("items").value_lengths().to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(hit[ends[1:]] - hit[ends[:-1]])], names=["rep", "c"])
+
+    return run
+
+
+def common_counts(sets: DataFrame) -> DataFrame:
+    """(rep, c): shingles of each of ``sets(rep, items)`` that occur in two sets or more.
+
+    c is at most too large, by false positives of the twice-seen filter.
+    """
+    spark = sets.sparkSession
+    wanted = max(shuffle_width(spark), input_bytes(sets) // (16 << 20))
+    shards = 1 << min(16, max(0, int(wanted - 1).bit_length()))
+    twice = blooms.filters(sets.select("items").mapInArrow(_pack_items(shards), blooms.PACKED), shards, True)
+    return sets.mapInArrow(_common(twice, shards), "rep long, c long")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, cls (digest of the shingle set), n (its size), keys (group hashes)."""
     return docs.select("doc_id", "text").mapInArrow(_fingerprint, "doc_id long, cls binary, n long, keys array<long>")
@@ -97,12 +134,22 @@ def bucket_members(classes: DataFrame) -> DataFrame:
     second = F.slice("keys", GROUPS + 1, GROUPS)
     paired = first.join(shared, "k").select("rep", "n", "k", F.posexplode(second).alias("j", "k2"))
     paired = stash(paired.select(F.xxhash64("k", "j", "k2").alias("key"), "rep", "n"), "nd-paired")
-    many = paired.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    members = stash(paired.join(many, "key"), "nd-members")
+    # Buckets of the same members (most tables of a group of copies) are one bucket.
+    code = F.xxhash64("rep").cast("decimal(20,0)")
+    many = paired.groupBy("key").agg(F.count("*").alias("c"), F.sum(code).alias("s"), F.bit_xor(F.xxhash64("n", "rep")).alias("x"))
+    once = stash(many.where("c > 1").groupBy("c", "s", "x").agg(F.min("key").alias("key")).select("key"), "nd-buckets")
+    members = stash(paired.join(once, "key"), "nd-members")
     unstash(paired)
     return members
 
 
+def _may_link(p, percent: int):
+    """Whether a pivot is to be tested: of another component, and with enough shingles in common at best."""
+    most = F.least(F.col("c"), p["c"])
+    enough = F.lit(100) * most >= F.lit(percent) * (F.col("n") + p["n"] - most)
+    return (p["rep"] < F.col("rep")) & (p["component"] != F.col("component")) & enough
+
+
 def _similar(percent: int):
     inter = F.size(F.array_intersect("x", "y"))
     return F.lit(100) * inter >= F.lit(percent) * (F.size("x") + F.size("y") - inter)
@@ -117,6 +164,11 @@ def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame |
     reps = live.select("rep").distinct()
     wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "text")
     sets = stash(wanted.mapInArrow(_sets, "rep long, items array<long>").groupBy("rep").agg(F.max("items").alias("items")), "nd-sets")
+    # A text links with nothing if too few of its shingles occur in any other candidate.
+    counts = stash(common_counts(sets), "nd-common")
+    able = stash(live.join(counts, "rep").where(F.lit(100) * F.col("c") >= F.lit(percent) * F.col("n")), "nd-able")
+    unstash(live)
+    live = able
     labels = stash(classes.select("rep", F.col("rep").alias("component")).distinct(), "nd-labels")
     pivots = 1
     while True:
@@ -128,9 +180,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame |
             break
         tested = open_.join(_pivots(open_, pivots), "key")
         pairs = (
-            tested.select("rep", "n", "component", F.explode("ps").alias("p"))
-            .where("p.rep < rep and p.component <> component")
-            .where(F.lit(100) * F.least("n", "p.n") >= F.lit(percent) * F.greatest("n", "p.n"))
+            tested.select("rep", "component", F.explode(F.filter("ps", lambda p: _may_link(p, percent))).alias("p"))
             .select("rep", F.col("p.rep").alias("pivot"), "component", F.col("p.component").alias("to"))
             .distinct()
         )
@@ -142,9 +192,9 @@ def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame |
         new = stash(new.select("rep", F.coalesce("root", "component").alias("component")), "nd-labels")
         unstash(labels)
         labels = new
-        live = stash(tested.where(F.expr("rep > ps[size(ps) - 1].rep")).select("key", "rep", "n"), "nd-members")
+        live = stash(tested.where(F.expr("rep > ps[size(ps) - 1].rep")).select("key", "rep", "n", "c"), "nd-members")
         unstash(open_)
-        pivots = min(2 * pivots, MOST_PIVOTS)
+        pivots = MOST_PIVOTS
     return classes.select("cls", "rep").join(labels, "rep").select("cls", "component")
 
 
@@ -152,7 +202,7 @@ def _pivots(members: DataFrame, k: int) -> DataFrame:
     """(key, ps): the k least members of each bucket, limited per task before the shuffle."""
     rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
     top = members.withColumn("rank", rank).where(F.col("rank") <= k)
-    return top.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rep", "n", "component"))).alias("ps"))
+    return top.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rep", "n", "c", "component"))).alias("ps"))
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
