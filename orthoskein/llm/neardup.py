@@ -5,7 +5,7 @@ group of each) is the key of one table, so that 64 tables of four minhashes
 cost 32 minhashes instead of 256. Texts with equal shingle sets are one class.
 Buckets are not expanded into all pairs: their least members are pivots,
 tested exactly against members of other components; one pivot merges most
-groups, and what is left meets MOST_PIVOTS at a time until every bucket is
+groups, and what is left meets more of them at a time until every bucket is
 settled. Each pair of a bucket is thus tested or already connected, unless it
 cannot link: two sets have at most as many shingles in common as each has that
 occur in any second candidate, which a twice-seen Bloom filter tells.
@@ -38,8 +38,8 @@ WIDTH = 5
 GROUPS = 8
 PER_GROUP = 2
 PERCENT = 85
-#: Pivots of a bucket that one round tests; later rounds take the next ones.
-MOST_PIVOTS = 64
+#: Pivots of a bucket that the rounds test: each round takes the next ones, the last number again and again.
+PIVOTS = (1, 64, 256, 1024)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -170,7 +170,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame |
     unstash(live)
     live = able
     labels = stash(classes.select("rep", F.col("rep").alias("component")).distinct(), "nd-labels")
-    pivots = 1
+    turn = 0
     while True:
         held = live.join(labels, "rep")
         spread = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
@@ -178,7 +178,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame |
         unstash(live)
         if open_.isEmpty():
             break
-        tested = open_.join(_pivots(open_, pivots), "key")
+        tested = open_.join(_pivots(open_, PIVOTS[min(turn, len(PIVOTS) - 1)]), "key")
         pairs = (
             tested.select("rep", "component", F.explode(F.filter("ps", lambda p: _may_link(p, percent))).alias("p"))
             .select("rep", F.col("p.rep").alias("pivot"), "component", F.col("p.component").alias("to"))
@@ -194,7 +194,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame |
         labels = new
         live = stash(tested.where(F.expr("rep > ps[size(ps) - 1].rep")).select("key", "rep", "n", "c"), "nd-members")
         unstash(open_)
-        pivots = MOST_PIVOTS
+        turn += 1
     return classes.select("cls", "rep").join(labels, "rep").select("cls", "component")
 
 
