@@ -88,7 +88,7 @@ def loops(links: DataFrame) -> DataFrame:
     ab = links.select(F.col("src").alias("a"), F.col("dst").alias("b"))
     bc = links.select(F.col("src").alias("b"), F.col("dst").alias("c"))
     ac = links.select(F.col("src").alias("a"), F.col("dst").alias("c"))
-    tri = ab.join(bc, "b").join(ac, ["a", "c"]).where((F.col("a") + F.col("b") + F.col("c")) % 5 == 0)
+    tri = ab.join(bc, "b").join(ac, ["a", "c"])
     path = F.posexplode(F.array("a", "b", "c", "a")).alias("step", "image_id")
     return tri.select(F.concat_ws("-", "a", "b", "c").alias("loop_id"), path)
 
