@@ -139,8 +139,8 @@ def densest_window(spark, sf_dir):
 
 
 def connected_components(spark, sf_dir):
-    """Components of the edges within three lines' blocks of the survey."""
-    links = pairing.proximity_pairs(survey.nodes(spark, sf_dir)).where(F.floor(F.col("src") / 15) == F.floor(F.col("dst") / 15))
+    """Components of all proximity edges of the survey; an image without edges is its own."""
+    links = pairing.proximity_pairs(survey.nodes(spark, sf_dir))
     nodes = survey.nodes(spark, sf_dir).select("image_id")
     found = components(links.select(F.col("src").alias("a"), F.col("dst").alias("b")))
     return nodes.join(found, nodes.image_id == found.node, "left").select("image_id", F.coalesce("component", "image_id").alias("component"))

@@ -30,3 +30,14 @@ def test_every_closed_triangle_counts(spark, folder):
         errors.append(np.sqrt((((moved / moved[:, 2:]) - points) ** 2).sum(1).mean()))
     assert survey.loops(links).select("loop_id").distinct().count() == len(triangles)
     assert queries.cycle_loop_error(spark, folder).first()[0] == pytest.approx(np.mean(errors), abs=1e-4)
+
+
+def test_components_reach_across_blocks_of_ids(spark, folder):
+    at = {r.image_id: (r.e, r.nn) for r in survey.nodes(spark, folder).collect()}
+    root = {k: k for k in KEYS}
+    for _ in KEYS:
+        for a, b in itertools.combinations(KEYS, 2):
+            if np.hypot(at[a][0] - at[b][0], at[a][1] - at[b][1]) < 39.9:
+                root[a] = root[b] = min(root[a], root[b])
+    assert set(root.values()) == {0, 200, 500}
+    assert {r.image_id: r.component for r in queries.connected_components(spark, folder).collect()} == root
