@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orthoskein.llm import langid, linededup, mixing, neardup, sentencepiece
@@ -24,9 +24,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of each group of near-duplicates, and one of repeated rows."""
+    """Keep the first document of each group of near-duplicates, and one of repeated rows.
+
+    Rows are repeated if doc_id and text are equal, null ids and null texts
+    included; the least by the other columns stays. Different texts under one id
+    stay, and so does a row without doc_id beside an equal text that has one.
+    """
     gone = neardup.near_dedup(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    left = docs.join(gone, "doc_id", "left_anti").withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    same = Window.partitionBy("doc_id", "digest").orderBy("lang", "source", "n_chars")
+    return left.withColumn("place", F.row_number().over(same)).where("place = 1").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,13 @@ def test_only_documents_without_a_letter_go(spark):
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
     want = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").collect()}
     assert kept == want and langid.UNDETERMINED == "und"
+
+
+def test_one_of_repeated_rows_stays(spark):
+    long, other = "some words that are long enough to be compared", "quite different words under the very same id as before"
+    rows = [(1, long, "en", "s1"), (1, long, "en", "s0"), (1, long, "en", "s0"), (1, other, "en", "s0"), (2, long, "en", "s0"), (3, "", "en", "s0"), (3, "", "en", "s0"), (4, "", "en", "s0")]
+    rows += [(None, long, "en", "s0"), (None, long, "en", "s0"), (None, other, None, "s0"), (5, None, "en", "s0"), (5, None, "en", "s0")]
+    docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = sorted((tuple(r)[:4] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()), key=str)
+    want = [(1, long, "en", "s0"), (1, other, "en", "s0"), (3, "", "en", "s0"), (4, "", "en", "s0"), (None, long, "en", "s0"), (None, other, None, "s0"), (5, None, "en", "s0")]
+    assert got == sorted(want, key=str)
