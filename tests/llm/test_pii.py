@@ -81,3 +81,28 @@ def test_no_python_on_the_main_path(spark):
     docs = spark.sql("SELECT 1L AS doc_id, 'x' AS text")
     plan = pii.detect(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("call 555-123-4567 555-987-6543 now", "phone:5:17,phone:18:30"),
+        ("room 4411 (555) 123-4567 today", "phone:10:24"),
+        ("+1 555 010 9999 555-987-6543", "phone:3:15,phone:16:28"),
+        ("numbers (555) 123-4567, (555) 987-6543, 555-222-3333", "phone:8:22,phone:24:38,phone:40:52"),
+    ],
+)
+def test_numbers_beside_numbers(spark, text, want):
+    assert run(spark, [text])[0].spans == want
+
+
+@pytest.mark.parametrize("text, want", [("write to john [AT] example [DOT] com", "email:9:36"), ("please call 5551234567", "phone:12:22")])
+def test_plain_variants(spark, text, want):
+    assert run(spark, [text])[0].spans == want
+
+
+def test_selection_takes_all_that_do_not_overlap_better_ones(spark):
+    rows = [(0, 10, 1.0), (8, 20, 3.0), (18, 30, 2.0), (19, 22, 0.5), (28, 40, 1.0)]
+    df = spark.createDataFrame([(-w, a - b, a, 4, b, "phone") for a, b, w in rows], "worse double, shorter int, start int, rank int, stop int, kind string")
+    out = df.groupBy().agg(pii.F.collect_list(pii.F.struct("*")).alias("a")).select(pii._greedy(pii.F.col("a"))).first()[0]
+    assert sorted((s.start, s.stop) for s in out) == [(8, 20), (28, 40)]
