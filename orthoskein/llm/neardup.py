@@ -1,22 +1,29 @@
 """MinHash near-duplicates with tensored banding and exact verification.
 
 Two small collections of minhash groups are computed per text; every pair (one
-group of each) is the key of one table, so that 64 tables of four minhashes
-cost 32 minhashes instead of 256. Texts with equal shingle sets are one class.
-Buckets are not expanded into all pairs: their least members are pivots,
-tested exactly against members of other components; one pivot merges most
-groups, and what is left meets more of them at a time until every bucket is
-settled. Each pair of a bucket is thus tested or already connected, unless it
-cannot link: two sets have at most as many shingles in common as each has that
-occur in any second candidate, which a twice-seen Bloom filter tells.
-
-A pair at similarity 0.85 shares a table with probability 0.99993, one at 0.9
-with 0.999998. Links are confirmed on the full sets of 64-bit shingle hashes.
+group of each) is the key of one table, so that 121 tables of six minhashes
+cost 66 minhashes instead of 726. Texts with equal shingle sets are one class.
+
+A bucket is not expanded into pairs. Its most central class is its pivot, and
+every member meets the pivot alone (a row a member). Classes that link with the
+pivot are connected. Any other pair of the bucket is decided by differences to
+the pivot: if A does not link with it, A and B can only link when they share
+at least ``need`` elements of their differences. Elements that no other
+difference of that pivot holds count for nothing, so most classes are settled
+by counting. The rest meet by the rarest of their shared elements (a prefix
+filter), first with one class a bucket of that kind, then with all that are
+not connected yet and whose counts still allow a link. So every pair that
+shares a table is tested, already connected, or cannot link.
+
+A pair at similarity 0.85 shares a table with probability 0.99994, one at 0.9
+with 0.999999; at 0.3 it is 0.07. Links are confirmed on the full sets of 64-bit
+shingle hashes, which sum one code for each byte and place of a word.
 
 Defined results: null, empty or blank texts have empty sets and are linked with
 nothing; rows without doc_id are linked with nothing and have no component;
-rows that share a doc_id share a component (if their texts differ, one of the
-texts stands for them in comparisons); an empty table gives an empty result.
+rows that share a doc_id share a component, also where their texts differ (then
+each text links by itself); columns other than doc_id and text are not read; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,20 +33,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from ..scratch import input_bytes, shuffle_width, stash, unstash
-from . import blooms
+from ..scratch import stash, unstash
 from .textkernel import U, mix, shingle_sets, slices
 
 WIDTH = 5
-GROUPS = 8
-PER_GROUP = 2
+GROUPS = 11
+PER_GROUP = 3
 PERCENT = 85
-#: Pivots of a bucket that the rounds test: each round takes the next ones, the last number again and again.
-PIVOTS = (1, 64, 256, 1024)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -57,6 +61,10 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _class(items: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(items.tobytes())
+
+
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -69,140 +77,149 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = pa.array(keys.view(np.int64).reshape(-1))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * 2 * GROUPS + 1, 2 * GROUPS, dtype=np.int32)), flat)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), lists],
+                [ids.slice(a, b - a), pa.array([_class(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), lists],
                 names=["doc_id", "cls", "n", "keys"],
             )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingle sets by class; one row for equal sets of a batch's slice."""
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        ids = batch.column("doc_id")
         for a, b in slices([t or b"" for t in texts], 1 << 22):
-            sets = [s.view(np.int64) for s in shingle_sets(texts[a:b], WIDTH)]
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "items"])
-
+            found = {_class(s): s.view(np.int64) for s in shingle_sets(texts[a:b], WIDTH)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["cls", "items"])
 
-def _pack_items(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield blooms.packed(np.asarray(batch.column("items").flatten()).view(np.uint64), shards)
 
-    return run
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id, cls (digest of the shingle set), n (its size), keys (group hashes)."""
+    return docs.select("doc_id", "text").mapInArrow(_fingerprint, "doc_id long, cls binary, n long, keys array<long>")
 
 
-def _common(sent, shards: int):
-    """Number of each set's shingles that any other set may hold."""
+def _shared(rows: DataFrame) -> DataFrame:
+    """(cls, heads, w) from ``rows(cls, k)``: the keys that another class has too, and how often they occur."""
+    often = rows.groupBy("k").agg(F.count("*").alias("c")).where("c > 1")
+    return rows.join(often, "k").groupBy("cls").agg(F.sum("c").alias("w"), F.collect_list("k").alias("ks"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = blooms.Tester(sent, shards)
-        for batch in batches:
-            hit = np.append(0, np.cumsum(test(np.asarray(batch.column("items").flatten()).view(np.uint64))))
-            ends = np.cumsum(np.append(0, batch.column("items").value_lengths().to_numpy()))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(hit[ends[1:]] - hit[ends[:-1]])], names=["rep", "c"])
 
-    return run
+def pivot_pairs(classes: DataFrame) -> DataFrame:
+    """(cls, pivot) of every member of every table bucket with two members or more.
 
+    The pivot is the member whose first groups are shared most often. A bucket
+    can only have two members if both groups of its key have, so groups that
+    one class alone holds are left out before they are combined.
+    """
+    keys = classes.select("cls", "keys")
+    half = keys.select("cls", F.posexplode(F.slice("keys", 1, GROUPS)).alias("i", "k"))
+    heads = stash(_shared(half.select("cls", F.xxhash64("i", "k").alias("k"))), "nd-heads")
+    other = keys.join(heads.select("cls"), "cls", "left_semi").select("cls", F.posexplode(F.slice("keys", GROUPS + 1, GROUPS)).alias("i", "k"))
+    tails = _shared(other.select("cls", F.xxhash64("i", "k").alias("k")))
+    both = heads.join(tails.select("cls", F.col("ks").alias("ts")), "cls")
+    tables = both.select("cls", "w", "ts", F.explode("ks").alias("k")).select("cls", "w", "k", F.explode("ts").alias("t"))
+    paired = stash(tables.select(F.xxhash64("k", "t").alias("key"), "cls", "w"), "nd-paired")
+    top = paired.groupBy("key").agg(F.count("*").alias("c"), F.max(F.struct("w", "cls")).alias("top")).where("c > 1").select("key", F.col("top.cls").alias("pivot"))
+    pairs = stash(paired.join(top, "key").where("cls <> pivot").select("cls", "pivot").distinct(), "nd-pairs")
+    unstash(heads)
+    unstash(paired)
+    return pairs
 
-def common_counts(sets: DataFrame) -> DataFrame:
-    """(rep, c): shingles of each of ``sets(rep, items)`` that occur in two sets or more.
 
-    c is at most too large, by false positives of the twice-seen filter.
-    """
-    spark = sets.sparkSession
-    wanted = max(shuffle_width(spark), input_bytes(sets) // (16 << 20))
-    shards = 1 << min(16, max(0, int(wanted - 1).bit_length()))
-    twice = blooms.filters(sets.select("items").mapInArrow(_pack_items(shards), blooms.PACKED), shards, True)
-    return sets.mapInArrow(_common(twice, shards), "rep long, c long")
+def _class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, items) of every class of ``pairs``, from the texts of its least doc_id."""
+    wanted = pairs.select("cls").unionByName(pairs.select(F.col("pivot").alias("cls"))).distinct()
+    wanted = stash(classes.select("cls", F.col("rep").alias("doc_id")).join(wanted, "cls", "left_semi"), "nd-wanted")
+    texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = texts.select("text").mapInArrow(_sets, "cls binary, items array<long>").join(wanted.select("cls"), "cls", "left_semi")
+    return stash(sets.groupBy("cls").agg(F.first("items").alias("items")), "nd-sets")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, cls (digest of the shingle set), n (its size), keys (group hashes)."""
-    return docs.select("doc_id", "text").mapInArrow(_fingerprint, "doc_id long, cls binary, n long, keys array<long>")
+def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs(cls, pivot)`` with both sets' sizes and what only one of them holds."""
+    left = pairs.join(sets.withColumnRenamed("items", "x"), "cls")
+    both = left.join(sets.select(F.col("cls").alias("pivot"), F.col("items").alias("y")), "pivot")
+    parts = both.select("cls", "pivot", F.size("x").alias("n"), F.size("y").alias("m"), F.array_except("x", "y").alias("a"), F.array_except("y", "x").alias("b"))
+    return parts.select("cls", "pivot", "n", "m", F.concat("a", "b").alias("diff"))
 
 
-def bucket_members(classes: DataFrame) -> DataFrame:
-    """(key, rep, n) of all table buckets with two members or more.
+def _links(percent: int):
+    """100 * intersection >= percent * union, by sizes n, m and the size of the difference."""
+    return F.lit(100 + percent) * F.size("diff") <= F.lit(100 - percent) * (F.col("n") + F.col("m"))
 
-    A table bucket can only have two members if the first group of its pair has,
-    so the second groups are combined with those alone.
-    """
-    half = F.slice("keys", 1, GROUPS)
-    first = classes.select("rep", "n", "keys", F.posexplode(half).alias("i", "k")).withColumn("k", F.xxhash64("i", "k"))
-    shared = first.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    second = F.slice("keys", GROUPS + 1, GROUPS)
-    paired = first.join(shared, "k").select("rep", "n", "k", F.posexplode(second).alias("j", "k2"))
-    paired = stash(paired.select(F.xxhash64("k", "j", "k2").alias("key"), "rep", "n"), "nd-paired")
-    # Buckets of the same members (most tables of a group of copies) are one bucket.
-    code = F.xxhash64("rep").cast("decimal(20,0)")
-    many = paired.groupBy("key").agg(F.count("*").alias("c"), F.sum(code).alias("s"), F.bit_xor(F.xxhash64("n", "rep")).alias("x"))
-    once = stash(many.where("c > 1").groupBy("c", "s", "x").agg(F.min("key").alias("key")).select("key"), "nd-buckets")
-    members = stash(paired.join(once, "key"), "nd-members")
-    unstash(paired)
-    return members
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return _met(pairs, sets).where(_links(percent)).select("cls", "pivot")
 
-def _may_link(p, percent: int):
-    """Whether a pivot is to be tested: of another component, and with enough shingles in common at best."""
-    most = F.least(F.col("c"), p["c"])
-    enough = F.lit(100) * most >= F.lit(percent) * (F.col("n") + p["n"] - most)
-    return (p["rep"] < F.col("rep")) & (p["component"] != F.col("component")) & enough
 
+def _open_differences(tested: DataFrame, percent: int) -> DataFrame:
+    """Per class and pivot of a star that is not settled: its shared elements, rarest first.
 
-def _similar(percent: int):
-    inter = F.size(F.array_intersect("x", "y"))
-    return F.lit(100) * inter >= F.lit(percent) * (F.size("x") + F.size("y") - inter)
+    ``need`` is the least number of shared elements with which the class can link
+    with anything of the star but the pivot; classes with fewer are left out.
+    """
+    star = tested.groupBy("pivot").agg(F.count("*").alias("c"), F.count_if(~F.col("linked")).alias("outer")).where("c > 1 and outer > 0").select("pivot")
+    rows = tested.join(star, "pivot")
+    each = rows.select("pivot", "cls", F.explode("diff").alias("e"))
+    often = each.groupBy("pivot", "e").agg(F.count("*").alias("f")).where("f > 1")
+    own = each.join(often, ["pivot", "e"]).groupBy("pivot", "cls").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("own"))
+    d = F.size("diff")
+    least = F.ceil((F.lit(100 + percent) * d - F.lit(100 - percent) * (F.col("n") + F.col("m"))) / 200)
+    judged = rows.select("pivot", "cls", "n", "linked", d.alias("d"), least.alias("need")).join(own, ["pivot", "cls"])
+    return judged.withColumn("c", F.size("own")).where("linked or need <= c")
+
+
+def _meetings(judged: DataFrame, percent: int, what: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Classes outside a pivot by the rarest shared elements of which one must meet, and all by each element."""
+    outer = judged.where("not linked").withColumn("e", F.explode(F.expr("slice(own, 1, c - need + 1)"))).select("pivot", F.col("e.e").alias("e"), *what)
+    every = judged.withColumn("e", F.explode("own")).select("pivot", F.col("e.e").alias("e"), "linked", *(F.col(c).alias(c + "2") for c in what))
+    return outer, every
+
+
+def _may_link(percent: int):
+    """Whether the counts of shared elements allow a link."""
+    need = F.lit(100 + percent) * (F.col("d") + F.col("d2")) - F.lit(100 - percent) * (F.col("n") + F.col("n2"))
+    return (F.col("cls") != F.col("cls2")) & (need <= F.lit(2 * (100 + percent)) * F.least("c", "c2"))
+
+
+def near_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): least doc_ids of classes such that links connect the classes as all links would."""
+    pairs = pivot_pairs(classes)
+    sets = _class_sets(docs, classes, pairs)
+    reps = classes.select("cls", "rep")
+
+    def named(found: DataFrame) -> DataFrame:
+        pivots = reps.select(F.col("cls").alias("pivot"), F.col("rep").alias("b"))
+        return found.join(reps.withColumnRenamed("rep", "a"), "cls").join(pivots, "pivot").select("a", "b")
+
+    tested = stash(_met(pairs, sets).withColumn("linked", _links(percent)), "nd-tested")
+    judged = stash(_open_differences(tested, percent), "nd-judged")
+    links = stash(named(tested.where("linked").select("cls", "pivot")), "nd-links")
+    if judged.where("not linked").isEmpty():
+        return links
+    # One class a shared element first: it connects what belongs to the same text that is not the pivot.
+    outer, every = _meetings(judged, percent, ["cls", "n", "d", "c"])
+    head = outer.groupBy("pivot", "e").agg(F.min(F.struct("d", "cls", "n", "c")).alias("h")).select("pivot", "e", "h.*")
+    second = head.join(every, ["pivot", "e"]).where(_may_link(percent)).select("cls", F.col("cls2").alias("pivot")).distinct()
+    links = stash(links.unionByName(named(_confirmed(second, sets, percent))), "nd-links")
+    group = components(links)
+    labels = reps.join(judged.select("cls").distinct(), "cls", "left_semi").join(group, F.col("rep") == F.col("node"), "left")
+    labels = stash(labels.select("cls", F.coalesce("component", "rep").alias("g")), "nd-labels")
+    outer, every = _meetings(judged.join(labels, "cls"), percent, ["cls", "n", "d", "c", "g"])
+    third = outer.join(every, ["pivot", "e"]).where((F.col("g") != F.col("g2")) & (F.col("linked") | (F.col("cls") < F.col("cls2"))) & _may_link(percent))
+    third = third.select("cls", F.col("cls2").alias("pivot")).distinct()
+    return stash(links.unionByName(named(_confirmed(third, sets, percent))), "nd-links")
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame | None = None) -> DataFrame:
     """(cls, component) of every class of equal sets; component is its least doc_id."""
     prints = stash(fingerprints(docs), "nd-prints") if prints is None else prints
     known = prints.where("n > 0 and doc_id is not null")
-    classes = stash(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nd-classes")
-    live = bucket_members(classes)
-    reps = live.select("rep").distinct()
-    wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "text")
-    sets = stash(wanted.mapInArrow(_sets, "rep long, items array<long>").groupBy("rep").agg(F.max("items").alias("items")), "nd-sets")
-    # A text links with nothing if too few of its shingles occur in any other candidate.
-    counts = stash(common_counts(sets), "nd-common")
-    able = stash(live.join(counts, "rep").where(F.lit(100) * F.col("c") >= F.lit(percent) * F.col("n")), "nd-able")
-    unstash(live)
-    live = able
-    labels = stash(classes.select("rep", F.col("rep").alias("component")).distinct(), "nd-labels")
-    turn = 0
-    while True:
-        held = live.join(labels, "rep")
-        spread = held.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        open_ = stash(held.join(spread, "key"), "nd-open")
-        unstash(live)
-        if open_.isEmpty():
-            break
-        tested = open_.join(_pivots(open_, PIVOTS[min(turn, len(PIVOTS) - 1)]), "key")
-        pairs = (
-            tested.select("rep", "component", F.explode(F.filter("ps", lambda p: _may_link(p, percent))).alias("p"))
-            .select("rep", F.col("p.rep").alias("pivot"), "component", F.col("p.component").alias("to"))
-            .distinct()
-        )
-        left = pairs.join(sets.withColumnRenamed("items", "x"), "rep")
-        right = sets.select(F.col("rep").alias("pivot"), F.col("items").alias("y"))
-        links = left.join(right, "pivot").where(_similar(percent)).select(F.col("component").alias("a"), F.col("to").alias("b"))
-        merged = components(links)
-        new = labels.join(merged.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
-        new = stash(new.select("rep", F.coalesce("root", "component").alias("component")), "nd-labels")
-        unstash(labels)
-        labels = new
-        live = stash(tested.where(F.expr("rep > ps[size(ps) - 1].rep")).select("key", "rep", "n", "c"), "nd-members")
-        unstash(open_)
-        turn += 1
-    return classes.select("cls", "rep").join(labels, "rep").select("cls", "component")
-
-
-def _pivots(members: DataFrame, k: int) -> DataFrame:
-    """(key, ps): the k least members of each bucket, limited per task before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
-    top = members.withColumn("rank", rank).where(F.col("rank") <= k)
-    return top.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rep", "n", "c", "component"))).alias("ps"))
+    classes = stash(known.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "nd-classes")
+    links = near_links(docs, classes, percent)
+    # A doc_id with several texts connects their classes.
+    several = known.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("doc_id")
+    same = known.join(several, "doc_id", "left_semi").select("doc_id", "cls").distinct().join(classes.select("cls", "rep"), "cls")
+    merged = components(links.unionByName(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+    return classes.select("cls", "rep").join(merged, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("component", "rep").alias("component"))
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

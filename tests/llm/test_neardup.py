@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -18,22 +19,24 @@ def set_of(text):
 
 
 def brute(rows):
-    sets = {i: set_of(t) for i, t in rows}
-    root = {i: i for i in sets}
+    """Rows that share a doc_id are one node; each of its texts links by itself."""
+    root = {i: i for i, _ in rows}
+    sets = dict(enumerate(set_of(t) for _, t in rows))
+    of = dict(enumerate(i for i, _ in rows))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    ids = sorted(sets)
-    for k, a in enumerate(ids):
-        for b in ids[k + 1 :]:
+    for a in sets:
+        for b in range(a + 1, len(sets)):
             both = len(sets[a] & sets[b])
             if sets[a] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
-                x, y = find(a), find(b)
+                x, y = find(of[a]), find(of[b])
                 root[max(x, y)] = min(x, y)
-    return sorted((i, len(sets[i]), find(i), find(i) == i) for i in sets)
+    least = lambda a: find(of[a]) if sets[a] else of[a]
+    return sorted((of[a], len(sets[a]), least(a), least(a) == of[a]) for a in sets)
 
 
 def corpus():
@@ -52,10 +55,57 @@ def corpus():
 
 def test_matches_brute_force(spark):
     rows = corpus()
-    df = spark.createDataFrame([(i, t, 0, "k") for i, t in rows], "doc_id long, text string, rep int, cls string").repartition(4)
+    df = spark.createDataFrame([(i, t, 0, "k", 1) for i, t in rows], "doc_id long, text string, rep int, cls string, component_id int").repartition(4)
     assert sorted(tuple(r) for r in neardup.near_dedup(df).collect()) == brute(rows)
 
 
+def variants(seed=3, size=420):
+    """A large group around two versions of one text; most pairs have a similarity of 0.6 to 0.9."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(4, 8)))
+    base = [word() for _ in range(150)]
+    other = list(base)
+    for at in (20, 60, 100, 140):
+        other[at] = word()
+    pool = [(rng.randrange(150), word()) for _ in range(40)]  # edits that several texts share
+    rows = []
+    for i in range(size):
+        w = list(rng.choice((base, other)))
+        for _ in range(rng.choice((1, 2, 2, 3, 3, 4, 5))):
+            at, new = rng.choice(pool) if rng.random() < 0.5 else (rng.randrange(150), word())
+            w[at] = new
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_large_group_of_middling_similarity(spark):
+    rows = variants()
+    want = brute(rows)
+    sizes = sorted(Counter(r[2] for r in want).values())
+    assert sizes[-1] > 100 and sizes.count(1) > 50  # one large component and many texts beside it
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in neardup.near_dedup(df).collect()) == want
+
+
+def test_texts_that_share_a_doc_id(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(100)) for x in "abcd"]
+    rows = [(5, texts[0]), (5, texts[1]), (7, texts[1] + " more"), (9, texts[2]), (8, texts[0]), (3, texts[3]), (9, texts[3] + " end"), (9, ""), (4, None)]
+    out = neardup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(tuple(r) for r in out) == brute(rows)
+    assert {r.doc_id: r.component_id for r in out if r.n_shingles} == {5: 5, 7: 5, 8: 5, 9: 3, 3: 3}
+
+
+def test_words_of_regular_structure_differ():
+    """Words that collide under any polynomial hash modulo 2**64."""
+    a = b"a"
+    while len(a) < 2048:
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    b = a.translate(bytes.maketrans(b"ab", b"ba"))
+    x, y = shingle_sets([a, b])
+    assert len(x) == len(y) == 1 and x[0] != y[0]
+
+
 def test_odd_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_dedup(empty).collect() == []
