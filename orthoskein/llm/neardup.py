@@ -12,7 +12,8 @@ at least ``need`` elements of their differences. Elements that no other
 difference of that pivot holds count for nothing, so most classes are settled
 by counting. The rest meet by the rarest of their shared elements (a prefix
 filter), first with one class a bucket of that kind, then with all that are
-not connected yet and whose counts still allow a link. So every pair that
+not connected yet, where the counts of shared elements and bitmaps of the sets
+(a lower bound of their difference) still allow a link. So every pair that
 shares a table is tested, already connected, or cannot link.
 
 A pair at similarity 0.85 shares a table with probability 0.99994, one at 0.9
@@ -44,6 +45,8 @@ WIDTH = 5
 GROUPS = 11
 PER_GROUP = 3
 PERCENT = 85
+#: 64-bit words of a set's bitmap.
+SKETCH = 8
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -82,13 +85,23 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def parities(items: np.ndarray) -> np.ndarray:
+    """Bitmap of SKETCH words: whether an odd number of items fall on each bit.
+
+    Two sets differ in at least as many items as their bitmaps differ in bits.
+    """
+    odd = np.bincount((items & U(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingle sets by class; one row for equal sets of a batch's slice."""
+    """Shingle sets by class, with their bitmaps; one row for equal sets of a batch's slice."""
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         for a, b in slices([t or b"" for t in texts], 1 << 22):
-            found = {_class(s): s.view(np.int64) for s in shingle_sets(texts[a:b], WIDTH)}
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["cls", "items"])
+            found = {_class(s): s for s in shingle_sets(texts[a:b], WIDTH)}
+            columns = [pa.array([f(s) for s in found.values()], pa.list_(pa.int64())) for f in (lambda s: s.view(np.int64), parities)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), *columns], names=["cls", "items", "bits"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -129,16 +142,16 @@ def _class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFr
     wanted = pairs.select("cls").unionByName(pairs.select(F.col("pivot").alias("cls"))).distinct()
     wanted = stash(classes.select("cls", F.col("rep").alias("doc_id")).join(wanted, "cls", "left_semi"), "nd-wanted")
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = texts.select("text").mapInArrow(_sets, "cls binary, items array<long>").join(wanted.select("cls"), "cls", "left_semi")
-    return stash(sets.groupBy("cls").agg(F.first("items").alias("items")), "nd-sets")
+    sets = texts.select("text").mapInArrow(_sets, "cls binary, items array<long>, bits array<long>").join(wanted.select("cls"), "cls", "left_semi")
+    return stash(sets.groupBy("cls").agg(F.first("items").alias("items"), F.first("bits").alias("bits")), "nd-sets")
 
 
 def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs(cls, pivot)`` with both sets' sizes and what only one of them holds."""
+    """``pairs(cls, pivot)`` with both sets' sizes, the class's bitmap and what only one set holds."""
     left = pairs.join(sets.withColumnRenamed("items", "x"), "cls")
     both = left.join(sets.select(F.col("cls").alias("pivot"), F.col("items").alias("y")), "pivot")
-    parts = both.select("cls", "pivot", F.size("x").alias("n"), F.size("y").alias("m"), F.array_except("x", "y").alias("a"), F.array_except("y", "x").alias("b"))
-    return parts.select("cls", "pivot", "n", "m", F.concat("a", "b").alias("diff"))
+    parts = both.select("cls", "pivot", "bits", F.size("x").alias("n"), F.size("y").alias("m"), F.array_except("x", "y").alias("a"), F.array_except("y", "x").alias("b"))
+    return parts.select("cls", "pivot", "bits", "n", "m", F.concat("a", "b").alias("diff"))
 
 
 def _links(percent: int):
@@ -163,21 +176,30 @@ def _open_differences(tested: DataFrame, percent: int) -> DataFrame:
     own = each.join(often, ["pivot", "e"]).groupBy("pivot", "cls").agg(F.sort_array(F.collect_list(F.struct("f", "e"))).alias("own"))
     d = F.size("diff")
     least = F.ceil((F.lit(100 + percent) * d - F.lit(100 - percent) * (F.col("n") + F.col("m"))) / 200)
-    judged = rows.select("pivot", "cls", "n", "linked", d.alias("d"), least.alias("need")).join(own, ["pivot", "cls"])
+    judged = rows.select("pivot", "cls", "bits", "n", "linked", d.alias("d"), least.alias("need")).join(own, ["pivot", "cls"])
     return judged.withColumn("c", F.size("own")).where("linked or need <= c")
 
 
-def _meetings(judged: DataFrame, percent: int, what: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Classes outside a pivot by the rarest shared elements of which one must meet, and all by each element."""
-    outer = judged.where("not linked").withColumn("e", F.explode(F.expr("slice(own, 1, c - need + 1)"))).select("pivot", F.col("e.e").alias("e"), *what)
-    every = judged.withColumn("e", F.explode("own")).select("pivot", F.col("e.e").alias("e"), "linked", *(F.col(c).alias(c + "2") for c in what))
-    return outer, every
+def _meetings(judged: DataFrame, what: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Classes outside a pivot by the rarest shared elements of which one must meet, and all by each element.
+
+    ``left`` is the number of a class's shared elements from that one on.
+    """
+    outer = judged.where("not linked").select("pivot", "c", F.posexplode(F.expr("slice(own, 1, c - need + 1)")).alias("at", "e"), *what)
+    every = judged.select("pivot", "c", "linked", F.posexplode("own").alias("at", "e"), *what)
+    outer = outer.select("pivot", F.col("e.e").alias("e"), (F.col("c") - F.col("at")).alias("left"), *what)
+    return outer, every.select("pivot", F.col("e.e").alias("e"), "linked", (F.col("c") - F.col("at")).alias("left2"), *(F.col(c).alias(c + "2") for c in what))
 
 
 def _may_link(percent: int):
-    """Whether the counts of shared elements allow a link."""
-    need = F.lit(100 + percent) * (F.col("d") + F.col("d2")) - F.lit(100 - percent) * (F.col("n") + F.col("n2"))
-    return (F.col("cls") != F.col("cls2")) & (need <= F.lit(2 * (100 + percent)) * F.least("c", "c2"))
+    """Whether counts and bitmaps allow a link of two classes whose first common element is the one they meet by.
+
+    Elements are in one order for all, so no more than ``left`` can be common.
+    """
+    sizes = F.lit(100 - percent) * (F.col("n") + F.col("n2"))
+    need = F.lit(100 + percent) * (F.col("d") + F.col("d2")) - sizes
+    apart = sum((F.bit_count(F.get("bits", i).bitwiseXOR(F.get("bits2", i))) for i in range(1, SKETCH)), F.bit_count(F.get("bits", 0).bitwiseXOR(F.get("bits2", 0))))
+    return (F.col("cls") != F.col("cls2")) & (need <= F.lit(2 * (100 + percent)) * F.least("left", "left2")) & (F.lit(100 + percent) * apart <= sizes)
 
 
 def near_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -196,14 +218,15 @@ def near_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
     if judged.where("not linked").isEmpty():
         return links
     # One class a shared element first: it connects what belongs to the same text that is not the pivot.
-    outer, every = _meetings(judged, percent, ["cls", "n", "d", "c"])
-    head = outer.groupBy("pivot", "e").agg(F.min(F.struct("d", "cls", "n", "c")).alias("h")).select("pivot", "e", "h.*")
+    what = ["cls", "n", "d", "bits"]
+    outer, every = _meetings(judged, what)
+    head = outer.groupBy("pivot", "e").agg(F.min(F.struct("d", "cls", "n", "left", "bits")).alias("h")).select("pivot", "e", "h.*")
     second = head.join(every, ["pivot", "e"]).where(_may_link(percent)).select("cls", F.col("cls2").alias("pivot")).distinct()
     links = stash(links.unionByName(named(_confirmed(second, sets, percent))), "nd-links")
     group = components(links)
     labels = reps.join(judged.select("cls").distinct(), "cls", "left_semi").join(group, F.col("rep") == F.col("node"), "left")
     labels = stash(labels.select("cls", F.coalesce("component", "rep").alias("g")), "nd-labels")
-    outer, every = _meetings(judged.join(labels, "cls"), percent, ["cls", "n", "d", "c", "g"])
+    outer, every = _meetings(judged.join(labels, "cls"), [*what, "g"])
     third = outer.join(every, ["pivot", "e"]).where((F.col("g") != F.col("g2")) & (F.col("linked") | (F.col("cls") < F.col("cls2"))) & _may_link(percent))
     third = third.select("cls", F.col("cls2").alias("pivot")).distinct()
     return stash(links.unionByName(named(_confirmed(third, sets, percent))), "nd-links")

@@ -96,6 +96,15 @@ def test_texts_that_share_a_doc_id(spark):
     assert {r.doc_id: r.component_id for r in out if r.n_shingles} == {5: 5, 7: 5, 8: 5, 9: 3, 3: 3}
 
 
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for differ in (0, 3, 40, 900):
+        x = np.unique(rng.integers(0, 1 << 62, 3000, dtype=np.uint64))
+        y = np.unique(np.append(x[differ:], rng.integers(0, 1 << 62, differ, dtype=np.uint64)))
+        apart = sum(int(v).bit_count() for v in (neardup.parities(x) ^ neardup.parities(y)).view(np.uint64))
+        assert apart <= len(np.setxor1d(x, y)) and (differ > 3 or apart > 0 or not differ)
+
+
 def test_words_of_regular_structure_differ():
     """Words that collide under any polynomial hash modulo 2**64."""
     a = b"a"
