@@ -1,8 +1,10 @@
-"""Sharded Bloom filters of 64-bit hashes: keys met twice, or given keys.
+"""Bloom filters that stay with the shard of their hashes.
 
-Hashes go to shards by their top bits, packed and pre-aggregated per batch, so
-that a key of any frequency costs a shard one hash per batch. Filters have no
-false negatives.
+Hashes go to shards by their top bits. A shard streams what arrives through a
+once-seen filter; hashes met again enter its twice-seen filter, which answers
+for the rows that the shard holds. Filters have no false negatives and never
+leave their task; their size follows from the shard, whose number follows from
+the input.
 """
 
 from __future__ import annotations
@@ -10,15 +12,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..scratch import stash
-from .linededup import BROADCAST_FILTERS, _has, _mark, _twice_filters
 
+#: Slots of a shard's once-seen filter, and those a key takes at least.
+ONCE_SLOTS = 1 << 24
 BITS_PER_KEY = 16
-PACKED = "shard int, keys binary, again binary"
+PROBES = 4
 
 
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
@@ -26,50 +24,69 @@ def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return (h >> np.uint64(64 - shards.bit_length() + 1)).astype(np.int64) if shards > 1 else np.zeros(len(h), np.int64)
 
 
-def packed(h: np.ndarray, shards: int) -> pa.RecordBatch:
-    """Rows of PACKED: distinct hashes by shard, and those met again."""
-    keys, counts = np.unique(h, return_counts=True)
-    cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
-    rows = [(s, keys[a:b], counts[a:b] > 1) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-    columns = [pa.array([s for s, _, _ in rows], pa.int32()), pa.array([k.tobytes() for _, k, _ in rows], pa.binary()), pa.array([k[c].tobytes() for _, k, c in rows], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "again"])
-
-
-def _all_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for shard, keys in zip(batch.column("shard").to_pylist(), batch.column("keys").to_pylist(), strict=True):
-            held.setdefault(shard, []).append(np.frombuffer(keys, np.uint64))
-    for shard, parts in held.items():
-        h = np.unique(np.concatenate(parts))
-        bits = np.zeros(max(64, len(h) * BITS_PER_KEY), bool)
-        _mark(bits, h)
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(bits)], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["shard", "slots", "bits"])
-
-
-def filters(hashed: DataFrame, shards: int, twice: bool, bound: int = BROADCAST_FILTERS):
-    """Broadcast filters of PACKED rows; None if they exceed ``bound`` bytes together."""
-    build = _twice_filters if twice else _all_filters
-    made = stash(hashed.repartitionById(shards, "shard").mapInArrow(build, "shard int, slots long, bits binary"), "filters")
-    if (made.agg(F.sum("slots")).first()[0] or 0) // 8 > bound:
-        return None
-    return hashed.sparkSession.sparkContext.broadcast([tuple(r) for r in made.collect()])
-
-
-class Tester:
-    """Membership of hashes in broadcast filters; everything is a member of no filters."""
-
-    def __init__(self, sent, shards: int):
-        self.shards = shards
-        self.tables = None if sent is None else {s: np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for s, n, b in sent.value}
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        if self.tables is None:
-            return np.ones(len(h), bool)
-        of, hit = shard_of(h, self.shards), np.zeros(len(h), bool)
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(self.shards + 1))
-        for s, bits in self.tables.items():
-            at = order[cuts[s] : cuts[s + 1]]
-            hit[at] = _has(bits, h[at])
-        return hit
+def power_of_two(wanted: int) -> int:
+    """Least power of two that is not below ``wanted``."""
+    return 1 << max(0, int(wanted - 1).bit_length())
+
+
+def by_shard(h: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, indices) of the hashes, for shards that have any."""
+    of = shard_of(h, shards)
+    order = np.argsort(of, kind="stable")
+    full, at = np.unique(of[order], return_index=True)
+    for s, part in zip(full.tolist(), np.split(order, at[1:]), strict=False):
+        yield s, part
+
+
+def _probes(h: np.ndarray, slots: int) -> Iterator[np.ndarray]:
+    """Slots of each hash: double hashing of its halves."""
+    a, b = h >> np.uint64(32), (h & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+    for i in range(PROBES):
+        yield ((a + np.uint64(i) * b) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(slots)
+
+
+class Bloom:
+    """A filter of one byte a slot while it is filled, and of one bit when packed."""
+
+    def __init__(self, slots: int):
+        self.slots, self.marks, self.bits = slots, np.zeros(slots, bool), None
+
+    def add(self, h: np.ndarray) -> None:
+        for at in _probes(h, self.slots):
+            self.marks[at] = True
+
+    def pack(self) -> Bloom:
+        self.bits, self.marks = np.packbits(self.marks), None
+        return self
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        found = np.ones(len(h), bool)
+        for at in _probes(h, self.slots):
+            if self.bits is None:
+                found &= self.marks[at]
+            else:
+                found &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
+        return found
+
+
+class Repeats:
+    """The two filters of one shard."""
+
+    def __init__(self):
+        self.once: Bloom | None = Bloom(ONCE_SLOTS)
+        self.again: list[np.ndarray] = []
+
+    def meet(self, h: np.ndarray, certain: np.ndarray) -> None:
+        """Take distinct hashes, and those known to be met again."""
+        self.again += [h[self.once.has(h)], certain]
+        self.once.add(h)
+        if len(self.again) > 64:
+            self.again = [np.unique(np.concatenate(self.again))]
+
+    def twice(self) -> Bloom:
+        """The twice-seen filter; the once-seen one is given up."""
+        keys = np.unique(np.concatenate([*self.again, np.zeros(0, np.uint64)]))
+        self.once, self.again = None, []
+        found = Bloom(max(64, len(keys) * BITS_PER_KEY))
+        found.add(keys)
+        return found.pack()

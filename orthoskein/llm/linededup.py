@@ -1,38 +1,41 @@
 """Line deduplication with two Bloom filters.
 
-Pass one sends 64-bit line hashes, packed and pre-aggregated per batch, to hash
-shards. A shard streams them through a once-seen filter; hashes met again form
-its twice-seen filter, which is sized to them. Pass two tests every line against
-the twice-seen filters, and only suspected repeats shuffle: an exact group-by on
-the whole key confirms them and chooses the first document. Filters have no false
-negatives, so nothing is lost; false positives end in the exact group-by.
+Every line's digest travels, packed by batch and by shard of its hash, with the
+place of the line. A shard streams the hashes through a once-seen filter; those
+met again form its twice-seen filter, which is sized to them. Only the places
+whose hash that filter holds go on: an exact group-by on the digest confirms
+them and chooses the first document. Filters have no false negatives and stay
+in their task; false positives end in the group-by. A line that a batch holds in
+several documents needs no answer: its places go on at once, spread over the
+shards, and its hash is sent to its own shard once a batch, so a line of any
+frequency costs a shard little.
+
+The digest is 128 bits of BLAKE2b over the whole key and stands for it.
 
 Defined results: a null or empty text is one empty line; rows that share a
 doc_id are one document; rows without doc_id neither claim nor lose lines;
-a document whose lines all go keeps an empty text; other columns are kept, but
-for those named n_lines or n_dropped, which are replaced.
+a document whose lines all go keeps an empty text; other columns are kept, of
+any name, but for those named n_lines or n_dropped, which are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import input_bytes, shuffle_width, stash
+from . import blooms
 
 MIN_KEY = 10
 SPACE = b" \t\n\x0b\x0c\r"
-#: Slots of a shard's once-seen filter (a byte each while it is filled).
-ONCE_SLOTS = 1 << 24
-BITS_PER_KEY = 16
-PROBES = 4
-#: Twice-seen filters of at most this many bytes are broadcast.
-BROADCAST_FILTERS = 128 << 20
+#: Input bytes (compressed) for each shard; the number of shards grows with the input.
+SHARD_BYTES = 16 << 20
+PLACE = np.dtype([("h", "u8"), ("g", "u8"), ("doc", "i8"), ("stamp", "i8"), ("line", "i4")])
 
 
 def line_keys(text: bytes | None) -> list[bytes]:
@@ -41,125 +44,86 @@ def line_keys(text: bytes | None) -> list[bytes]:
     return [k if len(k) >= 4 * MIN_KEY or len(k) >= MIN_KEY and len(k.decode("utf-8", "replace")) >= MIN_KEY else b"" for k in keys]
 
 
-def probes(h: np.ndarray, slots: int) -> Iterator[np.ndarray]:
-    """Slots of each hash: double hashing of its halves."""
-    a, b = h >> np.uint64(32), (h & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-    for i in range(PROBES):
-        yield ((a + np.uint64(i) * b) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(slots)
+def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Digest and place of every line with a key, and the row of each."""
+    digests, owners, lines = [], [], []
+    for i, t in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+        keys = line_keys(t)
+        at = [j for j, k in enumerate(keys) if k]
+        digests += [blake2b(keys[j], digest_size=16).digest() for j in at]
+        owners += [i] * len(at)
+        lines += at
+    out, owner = np.zeros(len(lines), PLACE), np.array(owners, np.int64)
+    pairs = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    out["h"], out["g"], out["line"] = pairs[:, 0], pairs[:, 1], lines
+    out["doc"], out["stamp"] = np.asarray(batch.column("doc_id"))[owner], np.asarray(batch.column("stamp"))[owner]
+    return out, owner
 
 
-def _mark(bits: np.ndarray, h: np.ndarray) -> None:
-    for at in probes(h, len(bits)):
-        bits[at] = True
-
-
-def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    found = np.ones(len(h), bool)
-    for at in probes(h, len(bits)):
-        found &= bits[at]
-    return found
-
-
-def _hash_lines(shards: int):
-    shift = np.uint64(64 - shards.bit_length() + 1)
+def _ask(shards: int):
+    """Rows by shard: places that need an answer, hashes met here once or again, and places that need none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            per_doc = [{digest(k) for k in line_keys(t) if k} for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            found = np.fromiter((h for d in per_doc for h in d), np.uint64)
-            keys, counts = np.unique(found, return_counts=True)
-            of = (keys >> shift).astype(np.int64) if shards > 1 else np.zeros(len(keys), np.int64)
-            cuts = np.searchsorted(of, np.arange(shards + 1))
-            rows = [(s, keys[a:b], counts[a:b] > 1) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([s for s, _, _ in rows], pa.int32()),
-                    pa.array([k.tobytes() for _, k, _ in rows], pa.binary()),
-                    pa.array([k[c].tobytes() for _, k, c in rows], pa.binary()),
-                ],
-                names=["shard", "keys", "again"],
-            )
+            if not batch.num_rows:
+                continue
+            places, owner = _places(batch)
+            order = np.argsort(places["h"], kind="stable")
+            places, owner = places[order], owner[order]
+            keys, at, of = np.unique(places["h"], return_index=True, return_inverse=True)
+            count = np.diff(np.append(at, len(places)))
+            # Rows of one hash are in order of their document here: the sort is stable.
+            several = owner[np.append(at[1:], len(places)) - 1] != owner[at] if len(at) else np.zeros(0, bool)
+            alone = count == 1
+            asked, told = places[alone[of]], places[~alone[of]]
+            rows: dict[int, list] = {}
+            for what, h in ((0, asked["h"]), (1, keys[~alone]), (2, keys[several])):
+                for s, part in blooms.by_shard(h, shards):
+                    rows.setdefault(s, [b""] * 4)[what] = (asked[part] if what == 0 else h[part]).tobytes()
+            spread = blooms.shard_of(told["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), shards)
+            for s in np.unique(spread).tolist():
+                rows.setdefault(s, [b""] * 4)[3] = told[spread == s].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), *(pa.array([r[k] for r in rows.values()], pa.binary()) for k in range(4))], names=["shard", "asked", "met", "again", "told"])
 
     return run
 
 
-def _twice_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stream a shard's hashes through its once-seen filter; give the twice-seen filter."""
-    once: dict[int, np.ndarray] = {}
-    twice: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for shard, keys, again in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            seen = once.setdefault(shard, np.zeros(ONCE_SLOTS, bool))
-            h = np.frombuffer(keys, np.uint64)
-            twice.setdefault(shard, []).extend([h[_has(seen, h)], np.frombuffer(again, np.uint64)])
-            _mark(seen, h)
-            if len(twice[shard]) > 64:
-                twice[shard] = [np.unique(np.concatenate(twice[shard]))]
-    for shard, parts in twice.items():
-        h = np.unique(np.concatenate(parts))
-        bits = np.zeros(max(64, len(h) * BITS_PER_KEY), bool)
-        _mark(bits, h)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), pa.array([len(bits)], pa.int64()), pa.array([np.packbits(bits).tobytes()], pa.binary())],
-            names=["shard", "slots", "bits"],
-        )
-
-
-def _suspects(filters, shards: int):
-    """Lines whose key every probe of the twice-seen filter holds."""
-    shift = np.uint64(64 - shards.bit_length() + 1)
+def _given(places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(places), 1 << 16):
+        part = places[a : a + (1 << 16)]
+        key = np.stack([part["h"], part["g"]], axis=1).tobytes()
+        column = [pa.array(part["doc"]), pa.array(part["stamp"]), pa.array(part["line"]), pa.array([key[16 * i : 16 * i + 16] for i in range(len(part))], pa.binary())]
+        yield pa.RecordBatch.from_arrays(column, names=["doc_id", "stamp", "line", "key"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
-        tables = {s: np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for s, n, b in filters.value} if filters else {}
-        for batch in batches:
-            docs, stamps, owners, places, keys = batch.column("doc_id").to_pylist(), batch.column("stamp").to_pylist(), [], [], []
-            for i, t in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
-                if docs[i] is None:
-                    continue
-                for j, k in enumerate(line_keys(t)):
-                    if k:
-                        owners.append(i)
-                        places.append(j)
-                        keys.append(k)
-            if filters:
-                h = np.fromiter(map(digest, keys), np.uint64, len(keys))
-                of = (h >> shift).astype(np.int64) if shards > 1 else np.zeros(len(h), np.int64)
-                order, hit = np.argsort(of, kind="stable"), np.zeros(len(h), bool)
-                cuts = np.searchsorted(of[order], np.arange(shards + 1))
-                for s, bits in tables.items():
-                    at = order[cuts[s] : cuts[s + 1]]
-                    hit[at] = _has(bits, h[at])
-                chosen = np.flatnonzero(hit).tolist()
-            else:
-                chosen = range(len(keys))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([docs[owners[x]] for x in chosen], pa.int64()),
-                    pa.array([stamps[owners[x]] for x in chosen], pa.int64()),
-                    pa.array([places[x] for x in chosen], pa.int32()),
-                    pa.array([keys[x] for x in chosen], pa.binary()),
-                ],
-                names=["doc_id", "stamp", "line", "key"],
-            )
-
-    return run
 
-
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of suspected lines of one shard."""
+    held: dict[int, list[np.ndarray]] = {}
+    filters: dict[int, blooms.Repeats] = {}
+    for batch in batches:
+        for shard, asked, met, again, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield from _given(np.frombuffer(told, PLACE))
+            places = np.frombuffer(asked, PLACE)
+            hashes = np.unique(np.concatenate([places["h"], np.frombuffer(met, np.uint64)]))
+            filters.setdefault(shard, blooms.Repeats()).meet(hashes, np.frombuffer(again, np.uint64))
+            held.setdefault(shard, []).append(places)
+    for shard, parts in held.items():
+        twice = filters.pop(shard).twice()
+        for places in parts:
+            yield from _given(places[twice.has(places["h"])])
+
+
+def suspected_lines(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(doc_id, stamp, line, key) of lines whose key may occur in two documents; no such line is missing."""
+    texts = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("stamp"))
+    shards = blooms.power_of_two(max(shuffle_width(docs.sparkSession), input_bytes(docs) // shard_bytes))
+    asked = texts.mapInArrow(_ask(shards), "shard int, asked binary, met binary, again binary, told binary")
+    return asked.repartitionById(shards, "shard").mapInArrow(_answer, "doc_id long, stamp long, line int, key binary")
+
+
+def repeated_lines(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, stamp, dropped lines) of each document that loses lines."""
-    spark = docs.sparkSession
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("stamp"))
-    wanted = max(shuffle_width(spark), input_bytes(docs) // 40 * BITS_PER_KEY // ONCE_SLOTS)
-    shards = 1 << min(16, max(0, int(wanted - 1).bit_length()))
-    hashed = texts.where("doc_id is not null").select("text").mapInArrow(_hash_lines(shards), "shard int, keys binary, again binary")
-    filters = stash(hashed.repartitionById(shards, "shard").mapInArrow(_twice_filters, "shard int, slots long, bits binary"), "line-filters")
-    held = filters.agg(F.sum("slots")).first()[0] or 0
-    # Beyond the bound all keys are suspects, and the exact step takes them all.
-    small = held // 8 <= BROADCAST_FILTERS
-    sent = spark.sparkContext.broadcast([tuple(r) for r in filters.collect()]) if small else None
-    suspects = stash(texts.mapInArrow(_suspects(sent, shards), "doc_id long, stamp long, line int, key binary"), "line-suspects")
+    suspects = stash(suspected_lines(docs, shard_bytes), "line-suspects")
     # Written, so that both sides of the join are plain exchanges: small ones are broadcast, hot keys split.
     first = stash(suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"), "line-first")
     lost = suspects.join(first, "key").where("doc_id > first")
@@ -168,17 +132,17 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 def line_dedup(docs: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
     """Documents with repeated lines taken out of ``text``; adds n_lines, n_dropped."""
-    lost = (repeated_lines(docs) if dropped is None else dropped).select(F.col("doc_id").alias("__id"), F.col("stamp").alias("__stamp"), F.col("dropped").alias("__gone"))
+    lost = (repeated_lines(docs) if dropped is None else dropped).select(F.col("doc_id").alias("id"), F.col("stamp").alias("mark"), F.col("dropped").alias("gone"))
     others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    stamped = docs.select(*others).withColumn("__s", F.xxhash64("text"))
-    joined = stamped.join(lost, (F.col("doc_id") == F.col("__id")) & (F.col("__s") == F.col("__stamp")), "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    kept = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("__lines", i)), "\n"))
-    return (
-        joined.withColumn("__lines", lines)
-        .withColumn("__kept", kept)
-        .withColumn("n_lines", F.size("__lines").cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
-        .select(*[F.col("__kept").alias("text") if c == "text" else F.col(c) for c in others], "n_lines", "n_dropped")
+    # Rows travel as one column, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*others).alias("row"), F.xxhash64("text").alias("stamp"))
+    joined = rows.join(lost, (F.col("row.doc_id") == F.col("id")) & (F.col("stamp") == F.col("mark")), "left")
+    lines = F.split(F.coalesce("row.text", F.lit("")), "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    out = joined.select("row", "gone", lines.alias("lines"))
+    return out.select(
+        *[(kept if c == "text" else F.col("row").getField(c)).alias(c) for c in others],
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

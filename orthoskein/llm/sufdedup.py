@@ -5,26 +5,27 @@ a smaller doc_id, or earlier in the document).
 
 Windows of LENGTH bytes choose an anchor: the least hash among their GRAM-byte
 grams. Equal windows choose equal anchors, so shards by anchor never part equal
-windows. A run of windows with one anchor is a segment. Three passes over the
-texts keep the sorted volume small and lose nothing:
-
-1. Anchor hashes meet in once-seen and twice-seen Bloom filters; segments whose
-   anchor is met once cannot repeat.
-2. Suspected segments are compared by digest. All but the first of equal
-   segments repeat as a whole (pre-aggregated per batch, so a hot passage costs
-   a shard one row per batch). Where an anchor has several different segments,
-   the first of each is wanted.
-3. The wanted segments of a shard form one text, whose suffixes are sorted by
-   external induced sorting (``induced``), common prefixes included. Suffixes
-   that share LENGTH bytes are one string: all but its earliest start go.
-
-The spans then meet their documents. Digests are 64 bits of a polynomial hash
-beside the 64-bit anchor hash.
+windows. A run of windows with one anchor is a segment (150 bytes at most).
+
+1. All segments go to the shard of their anchor, packed by batch: anchor, digest
+   and place. Equal segments of a batch are told apart there: all but the first
+   repeat as a whole, so a hot passage costs a shard one row a batch. The shard's
+   once-seen and twice-seen Bloom filters leave out segments whose anchor is met
+   once. Of equal segments all but the first go; where an anchor has several
+   different ones, the first of each is wanted.
+2. The bytes of wanted segments are sorted in bins of about BIN_BYTES, whole
+   anchors in each, by external induced sorting (``induced``) of all suffixes,
+   common prefixes included. Suffixes that share LENGTH bytes are one string:
+   all but its earliest start go.
+
+The spans then meet their documents by doc_id and a digest of the text. Digests
+of segments are 64 bits of a polynomial hash beside the 64-bit anchor hash.
 
 Defined results: a null text is an empty one; rows without doc_id keep all and
-repeat nothing; rows that share a doc_id and text are one document (if their
-texts differ, spans of one also fall on the others, within their length); an
-empty table gives an empty result.
+repeat nothing; rows that share a doc_id and text are one document; texts that
+share a doc_id and differ are documents of their own, in the order of their
+digests; columns other than doc_id and text are not read; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from ..scratch import input_bytes, shuffle_width, stash
 from . import blooms
 from .induced import IN_MEMORY, sorted_suffixes
-from .textkernel import BYTE_CODE, U, mix, powers, slices
+from .textkernel import BASE, BYTE_CODE, U, mix, powers, slices
 
 LENGTH = 100
 GRAM = 50
@@ -107,116 +108,118 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _anchors(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = set()  # rows that repeat a document count once
-            rows = [t for d, t in zip(batch.column("doc_id").to_pylist(), _texts(batch), strict=True) if (d, t) not in seen and not seen.add((d, t))]
-            found = [s[0] for s in segments(rows)]
-            if found:
-                yield blooms.packed(np.concatenate(found), shards)
+_ROW = np.dtype([("anchor", "u8"), ("digest", "u8"), ("doc", "i8"), ("stamp", "i8"), ("start", "i8"), ("size", "i4")])
+#: ``bin`` is where the bytes of a wanted segment are sorted; -1 for spans that go.
+SPANS = "doc_id long, stamp long, start long, stop long, bin long"
+#: Bytes of segments that are sorted at a time (one anchor's are never parted).
+BIN_BYTES = 1 << 20
+BINS = 1 << 24
 
-    return run
+
+def _firsts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of anchor, digest and place, and whether each is the first of its segment."""
+    rows = rows[np.lexsort([rows[c] for c in ("size", "start", "stamp", "doc", "digest", "anchor")])]
+    fresh = np.append(True, rows[1:] != rows[:-1])[: len(rows)]
+    rows = rows[fresh]
+    return rows, np.append(True, (rows["anchor"][1:] != rows["anchor"][:-1]) | (rows["digest"][1:] != rows["digest"][:-1]))[: len(rows)]
 
 
-_ROW = np.dtype([("anchor", "u8"), ("digest", "u8"), ("doc", "i8"), ("start", "i8"), ("size", "i8")])
-SPANS = "doc_id long, start long, stop long, wanted boolean"
+def _columns(rows: np.ndarray) -> bytes:
+    """Rows as one column behind the other, which compress better than rows do."""
+    return b"".join(np.ascontiguousarray(rows[c]).tobytes() for c in _ROW.names)
 
 
-def _firsts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order of anchor, digest and place, and whether each is the first of its segment."""
-    rows = np.unique(rows)
-    fresh = np.append(True, (rows["anchor"][1:] != rows["anchor"][:-1]) | (rows["digest"][1:] != rows["digest"][:-1]))[: len(rows)]
-    return rows, fresh
+def _rows(raw: bytes) -> np.ndarray:
+    n, at = len(raw) // _ROW.itemsize, 0
+    out = np.empty(n, _ROW)
+    for c in _ROW.names:
+        out[c] = np.frombuffer(raw, _ROW[c], n, at)
+        at += n * _ROW[c].itemsize
+    return out
 
 
-def _suspects(sent, shards: int):
-    """Packed rows of suspected segments by shard: first ones, and others (certain repeats)."""
+def _ask(shards: int):
+    """Segments by shard of their anchor: the first of each kind, and others (certain repeats, spread over all shards)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = blooms.Tester(sent, shards)
         for batch in batches:
-            docs, found = np.array(batch.column("doc_id").to_pylist(), np.int64), []
-            for anchor, digest, owner, start, size in segments(_texts(batch)):
-                hit = test(anchor)
-                part = np.zeros(int(hit.sum()), _ROW)
-                for name, values in zip(_ROW.names, (anchor, digest, docs[owner], start, size), strict=True):
-                    part[name] = values[hit]
-                found.append(part)
+            texts, found = _texts(batch), []
+            for a, b in slices(texts, 8 * PIECE):
+                docs, stamps = (np.asarray(batch.column(c))[a:b] for c in ("doc_id", "stamp"))
+                for anchor, digest, owner, start, size in segments(texts[a:b]):
+                    part = np.empty(len(anchor), _ROW)
+                    for name, values in zip(_ROW.names, (anchor, digest, docs[owner], stamps[owner], start, size), strict=True):
+                        part[name] = values
+                    found.append(part)
             if not found:
                 continue
-            rows, fresh = _firsts(np.concatenate(found))
-            of = blooms.shard_of(rows["anchor"], shards)
-            cuts = np.searchsorted(of, np.arange(shards + 1))
-            out = [(s, rows[a:b][fresh[a:b]].tobytes(), rows[a:b][~fresh[a:b]].tobytes()) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            kinds = (("shard", pa.int32()), ("first", pa.binary()), ("rest", pa.binary()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(kinds)], names=[k for k, _ in kinds])
+            rows, first = _firsts(np.concatenate(found))
+            rest, rows = rows[~first], rows[first]
+            out: dict[int, list[bytes]] = {}
+            for s, part in blooms.by_shard(rows["anchor"], shards):
+                out.setdefault(s, [b"", b""])[0] = _columns(np.sort(rows[part], order=("doc", "stamp", "start")))
+            for s, part in blooms.by_shard(rest["doc"].astype(np.uint64) * U(BASE), shards):
+                out.setdefault(s, [b"", b""])[1] = _columns(rest[part])
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), *(pa.array([r[k] for r in out.values()], pa.binary()) for k in (0, 1))], names=["shard", "first", "rest"])
 
     return run
 
 
-def _span_batches(rows: np.ndarray, wanted: bool) -> Iterator[pa.RecordBatch]:
+def _span_batches(rows: np.ndarray, bins: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    bins = np.full(len(rows), -1) if bins is None else bins
     for a in range(0, len(rows), 1 << 16):
         part = rows[a : a + (1 << 16)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part["doc"]), pa.array(part["start"]), pa.array(part["start"] + part["size"]), pa.array(np.full(len(part), wanted))],
-            names=["doc_id", "start", "stop", "wanted"],
-        )
-
-
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of segments that repeat as a whole; and the segments that are wanted."""
-    held: list[np.ndarray] = []
-    for batch in batches:
-        for first, rest in zip(batch.column("first").to_pylist(), batch.column("rest").to_pylist(), strict=True):
-            yield from _span_batches(np.frombuffer(rest, _ROW), False)
-            held.append(np.frombuffer(first, _ROW))
-    if not held:
-        return
-    rows, fresh = _firsts(np.concatenate(held))
-    yield from _span_batches(rows[~fresh], False)
-    rows = rows[fresh]
-    change = np.append(True, rows["anchor"][1:] != rows["anchor"][:-1])
-    group = np.cumsum(change) - 1
-    yield from _span_batches(rows[np.bincount(group)[group] > 1], True)
-
-
-def _place_hash(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    return mix(mix(doc.astype(np.uint64) + U(0x9E3779B97F4A7C15)) + start.astype(np.uint64))
-
-
-def _places(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield blooms.packed(_place_hash(np.asarray(batch.column("doc_id")), np.asarray(batch.column("start"))), shards)
-
-    return run
+        columns = [pa.array(part[c]) for c in ("doc", "stamp", "start")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(part["start"] + part["size"]), pa.array(bins[a : a + (1 << 16)])], names=["doc_id", "stamp", "start", "stop", "bin"])
 
 
-def _wanted(sent, shards: int):
-    """Bytes of the wanted segments, by shard of their anchor."""
+def _judge(shards: int):
+    """Spans of segments that repeat as a whole; and the segments that are wanted, with their bins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = blooms.Tester(sent, shards)
+        held: list[np.ndarray] = []
+        filters = blooms.Repeats()
         for batch in batches:
-            docs, texts = np.array(batch.column("doc_id").to_pylist(), np.int64), _texts(batch)
-            for anchor, _, owner, start, size in segments(texts):
-                hit = np.flatnonzero(test(_place_hash(docs[owner], start)))
-                o, s, n = owner[hit].tolist(), start[hit].tolist(), size[hit].tolist()
-                columns = [
-                    pa.array(blooms.shard_of(anchor[hit], shards).astype(np.int32)),
-                    pa.array(docs[owner[hit]]),
-                    pa.array(start[hit]),
-                    pa.array([texts[i][a : a + k] for i, a, k in zip(o, s, n, strict=True)], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "doc_id", "start", "bytes"])
+            for first, rest in zip(batch.column("first").to_pylist(), batch.column("rest").to_pylist(), strict=True):
+                yield from _span_batches(_rows(rest))
+                rows = _rows(first)
+                keys, counts = np.unique(rows["anchor"], return_counts=True)
+                filters.meet(keys, keys[counts > 1])
+                held.append(rows)
+        twice = filters.twice()
+        # A segment whose anchor is met once in all cannot repeat.
+        rows, fresh = _firsts(np.concatenate([np.zeros(0, _ROW), *(r[twice.has(r["anchor"])] for r in held)]))
+        del held
+        if not len(rows):
+            return
+        yield from _span_batches(rows[~fresh])
+        rows = rows[fresh]
+        group = np.cumsum(np.append(True, rows["anchor"][1:] != rows["anchor"][:-1])) - 1
+        rows = rows[np.bincount(group)[group] > 1]
+        if len(rows):
+            heads = np.append(True, rows["anchor"][1:] != rows["anchor"][:-1])
+            place = (np.cumsum(rows["size"]) - rows["size"])[heads] // BIN_BYTES
+            yield from _span_batches(rows, blooms.shard_of(rows["anchor"], shards) * BINS + place[np.cumsum(heads) - 1])
 
     return run
 
 
-def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray, limit: int = IN_MEMORY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(doc, start) of all windows of ``parts`` but the earliest of each string."""
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the wanted segments."""
+    for batch in batches:
+        rows, starts, bins, parts = [], [], [], []
+        for i, (text, spans) in enumerate(zip(_texts(batch), batch.column("spans").to_pylist(), strict=True)):
+            rows += [i] * len(spans)
+            starts += [x["start"] for x in spans]
+            bins += [x["bin"] for x in spans]
+            parts += [text[x["start"] : x["stop"]] for x in spans]
+        at = np.array(rows, np.int64)
+        columns = [pa.array(bins, pa.int64()), *(pa.array(np.asarray(batch.column(c))[at]) for c in ("doc_id", "stamp")), pa.array(starts, pa.int64()), pa.array(parts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["bin", "doc_id", "stamp", "start", "bytes"])
+
+
+def repeated_windows(parts: list[bytes], rank: np.ndarray, start: np.ndarray, limit: int = IN_MEMORY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rank, start) of all windows of ``parts`` but the earliest of each string; rank is the order of documents."""
     size = np.array([len(p) for p in parts])
     begin = np.cumsum(size + 1) - size - 1
     text = np.frombuffer(b"\0".join(parts), np.uint8)
@@ -226,7 +229,7 @@ def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray, lim
         group = np.cumsum(lcp < LENGTH)[whole]
         shared = np.bincount(group)[group] > 1 if len(group) else group.astype(bool)
         at, part, group = at[whole][shared], part[whole][shared], group[shared]
-        d, s = doc[part], start[part] + at - begin[part]
+        d, s = rank[part], start[part] + at - begin[part]
         order = np.lexsort((s, d, group))
         g, d, s = group[order], d[order], s[order]
         head = np.maximum.accumulate(np.where(np.append(True, g[1:] != g[:-1])[: len(g)], np.arange(len(g)), 0))
@@ -234,40 +237,50 @@ def repeated_windows(parts: list[bytes], doc: np.ndarray, start: np.ndarray, lim
         yield d[later], s[later]
 
 
+def _sort_bin(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    places = np.array([r[:3] for r in rows], np.int64)
+    docs, rank = np.unique(places[:, :2], axis=0, return_inverse=True)
+    found = [np.stack(x) for x in repeated_windows([r[3] for r in rows], rank.ravel(), places[:, 2])]
+    every = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    order = np.lexsort((every[1], every[0]))
+    d, s = every[0][order], every[1][order]
+    # Runs of starts of one document become one span.
+    heads = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1))[: len(d)])
+    tails = np.append(heads[1:], len(d)) - 1 if len(d) else heads
+    out = np.zeros(len(heads), _ROW)
+    out["doc"], out["stamp"], out["start"], out["size"] = docs[d[heads], 0], docs[d[heads], 1], s[heads], s[tails] - s[heads] + LENGTH
+    yield from _span_batches(out)
+
+
 def _sort_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list] = {}
+    """Rows come in order of their bins; one bin is held at a time."""
+    held: list[tuple] = []
+    now = None
     for batch in batches:
-        for shard, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "start", "bytes")), strict=True):
-            held.setdefault(shard, []).append(row)
-    for rows in held.values():
-        doc, start = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
-        found = [np.stack(x) for x in repeated_windows([r[2] for r in rows], doc, start)]
-        every = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        order = np.lexsort((every[1], every[0]))
-        d, s = every[0][order], every[1][order]
-        # Runs of starts of one document become one span.
-        cut = np.append(True, (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1))[: len(d)]
-        heads = np.flatnonzero(cut)
-        tails = np.append(heads[1:], len(d)) - 1 if len(d) else heads
-        out = np.zeros(len(heads), _ROW)
-        out["doc"], out["start"], out["size"] = d[heads], s[heads], s[tails] - s[heads] + LENGTH
-        yield from _span_batches(out, False)
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, stop) of byte spans that repeat earlier strings; spans may overlap."""
-    spark = docs.sparkSession
-    texts = docs.where("doc_id is not null").select("doc_id", "text")
-    size = max(shuffle_width(spark), input_bytes(docs) // SHARD_BYTES)
-    shards = 1 << min(16, max(0, int(size - 1).bit_length()))
-    twice = blooms.filters(texts.mapInArrow(_anchors(shards), blooms.PACKED), shards, True)
-    packed = texts.mapInArrow(_suspects(twice, shards), "shard int, first binary, rest binary")
-    judged = stash(packed.repartitionById(shards, "shard").mapInArrow(_judge, SPANS), "suf-judged")
-    wanted = judged.where("wanted").select("doc_id", "start")
-    places = blooms.filters(wanted.mapInArrow(_places(shards), blooms.PACKED), shards, False)
-    chosen = texts.mapInArrow(_wanted(places, shards), "shard int, doc_id long, start long, bytes binary")
-    sorted_ = stash(chosen.repartitionById(shards, "shard").mapInArrow(_sort_shard, SPANS), "suf-sorted")
-    return judged.where("not wanted").unionByName(sorted_).drop("wanted")
+        for to, *row in zip(*(batch.column(c).to_pylist() for c in ("bin", "doc_id", "stamp", "start", "bytes")), strict=True):
+            if to != now and held:
+                yield from _sort_bin(held)
+                held = []
+            now = to
+            held.append(tuple(row))
+    if held:
+        yield from _sort_bin(held)
+
+
+def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(doc_id, stamp, start, stop) of byte spans that repeat earlier strings; spans may overlap."""
+    texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("stamp"), "text")
+    shards = blooms.power_of_two(max(shuffle_width(docs.sparkSession), input_bytes(docs) // shard_bytes))
+    asked = texts.mapInArrow(_ask(shards), "shard int, first binary, rest binary")
+    judged = stash(asked.repartitionById(shards, "shard").mapInArrow(_judge(shards), SPANS), "suf-judged")
+    wanted = judged.where("bin >= 0").groupBy("doc_id", "stamp").agg(F.collect_list(F.struct("start", "stop", "bin")).alias("spans"))
+    # One row of those that repeat a document: it is the document's text that counts.
+    wanted = wanted.withColumnsRenamed({"doc_id": "id", "stamp": "mark"})
+    chosen = texts.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("stamp") == F.col("mark")))
+    parts = chosen.select("doc_id", "stamp", "text", "spans").mapInArrow(_wanted, "bin long, doc_id long, stamp long, start long, bytes binary")
+    dealt = parts.repartitionById(shards, F.expr(f"cast(bin div {BINS} as int)")).sortWithinPartitions("bin")
+    sorted_ = stash(dealt.mapInArrow(_sort_shard, SPANS), "suf-sorted")
+    return judged.where("bin < 0").unionByName(sorted_).drop("bin")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +305,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of every document."""
-    spans = repeated_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("id"), F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
-    joined = docs.select("doc_id", "text").join(spans, F.col("doc_id") == F.col("id"), "left")
+    spans = repeated_spans(docs).groupBy("doc_id", "stamp").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = spans.select(F.col("doc_id").alias("id"), F.col("stamp").alias("mark"), F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("stamp"))
+    joined = rows.join(spans, (F.col("doc_id") == F.col("id")) & (F.col("stamp") == F.col("mark")), "left")
     return joined.select("doc_id", "text", "starts", "stops").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

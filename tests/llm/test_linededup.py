@@ -1,8 +1,9 @@
 import hashlib
 
+import numpy as np
 import pytest
 
-from orthoskein.llm import linededup
+from orthoskein.llm import blooms, linededup
 
 SCHEMA = "doc_id long, text string, n_lines int, key string"
 
@@ -43,9 +44,39 @@ def test_matches_brute_force(spark):
     assert run(spark, []) == []
 
 
-def test_filters_beyond_the_bound_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(linededup, "BROADCAST_FILTERS", 0)
-    assert run(spark, ROWS) == brute(ROWS)
+def test_many_shards_give_the_same(spark):
+    df = spark.createDataFrame([(i, t, 1, "k") for i, t in ROWS], SCHEMA).repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        lost = {(r.doc_id, r.line) for r in linededup.suspected_lines(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    held = {}
+    for i, t in ROWS:
+        for j, line in enumerate((t or "").split("\n")):
+            if i is not None and len(key_of(line)) >= 10:
+                held.setdefault(key_of(line), set()).add((i, j))
+    repeated = {x for places in held.values() if len({i for i, _ in places}) > 1 for x in places}
+    alone = {x for places in held.values() if len(places) == 1 for x in places}
+    assert repeated <= lost and len(lost & alone) < 3
+
+
+def test_names_of_other_columns_do_not_matter(spark):
+    rows = [(1, "a long common line", 1, 2, 3, 4), (2, "a long common line\nand more", 5, 6, 7, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int, stamp int, lines int, gone int")
+    out = linededup.line_dedup(df).orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [(1, "a long common line", 1, 2, 3, 4, 1, 0), (2, "and more", 5, 6, 7, 8, 2, 1)]
+
+
+def test_filters_have_no_false_negatives():
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    seen = blooms.Repeats()
+    seen.meet(np.unique(h[:3000]), h[:10])
+    seen.meet(np.unique(h[2000:]), h[:0])
+    twice = seen.twice()
+    assert twice.has(h[2000:3000]).all() and twice.has(h[:10]).all() and twice.has(h[3000:]).mean() < 0.05
 
 
 @pytest.mark.parametrize("text, n", [("0123456789", 1), (" 012345678 ", 0), ("日" * 10, 1), ("日" * 9, 0)])

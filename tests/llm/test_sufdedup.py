@@ -59,6 +59,27 @@ def test_repeated_rows_are_one_document(spark):
     assert out[0] == out[1] == brute([(5, text)])[0]
 
 
+def test_texts_that_share_a_doc_id(spark):
+    """Spans stay with the text in which they were found."""
+    prose = [t for _, t in corpus(80) if len(t) > 150]
+    rows = [(1, prose[0]), (5, prose[0] + " x"), (5, prose[1] + prose[2]), (5, prose[3])]
+    out = run(spark, rows)
+    assert sorted(r[2] for r in out) == sorted(r[2] for r in brute([(1, prose[0]), (5, prose[0] + " x"), (6, prose[1] + prose[2]), (7, prose[3])]))
+
+
+def test_many_small_shards_and_bins(spark, monkeypatch):
+    rows = corpus(40) + ODD
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        monkeypatch.setattr(sufdedup, "BIN_BYTES", 64)
+        spans = sufdedup.suffix_dedup(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(tuple(r)[:5] for r in spans) == sorted(brute(rows))
+
+
 def test_long_text_is_cut_into_pieces_without_loss(spark, monkeypatch):
     rows = [(1, "x" + corpus(40)[5][1] * 3), (2, corpus(40)[6][1] + corpus(40)[5][1] * 2)]
     want = {}
