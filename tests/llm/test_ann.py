@@ -63,3 +63,32 @@ def test_traversal_order():
                 break
             met, last = met + c, d
         assert ann.traverse(d1, d2, counts, wanted) == pytest.approx(last)
+
+
+def test_scored_pairs_follow_the_share():
+    """Work is done for visited cells alone, and every visited cell is scored."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 16))
+    ids, u = np.arange(len(x)), ann.unit(x)
+    books = ann.Codebooks(ann._kmeans(u[:, :8], 32), ann._kmeans(u[:, 8:], 32))
+    cells = books.cells(u)
+    counts = np.bincount(cells, minlength=32 * 32)
+    d1, d2 = books.distances(u[:60])
+    for share in (0.05, 0.2, 0.6):
+        wanted = int(share * len(x))
+        reach = np.array([ann.traverse(a, b, counts, wanted) for a, b in zip(d1, d2)])
+        scored = 0
+        for code in range(32):
+            order = np.lexsort((ids, cells))
+            of = order[cells[order] // 32 == code]
+            if len(of):
+                scored += ann.best_visited(books, code, (ids[:60], x[:60], reach), (ids[of], x[of]), 5)[3]
+        assert wanted <= scored / 60 <= wanted + 2 * counts.max()
+
+
+def test_other_columns_are_not_read(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist(), 1, "x") for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, code int, rank string")
+    out = ann.search(df, df.vec_id % 50 == 0, share=1.0)
+    assert out.columns == ["query_id", "rank", "vec_id", "score"] and out.count() == 15
