@@ -6,14 +6,21 @@ vector machines, and so are the languages within a family. All machines are
 linear, so a text's score is a mean of weights over its n-grams: the whole
 text is read once and never held as a vector.
 
-Training takes a bounded sample: per language about PER_LANGUAGE documents,
-chosen by a hash of their id, and about SAMPLE in all, of at most LANGUAGES
-languages (the most frequent). Learned only from text and non-null ``lang`` of documents whose
-crc32(doc_id) mod 3 is not 1; prediction sees nothing but the text.
+Every language of the labels is learned. Languages that the table of families
+does not have are families of their own while they are few; many of them form
+families of like n-gram frequencies, so that machines stay far fewer than pairs
+of languages.
+
+Training takes a bounded sample: per language about PER_LANGUAGE documents, or
+fewer (LEAST at least) where that makes more than SAMPLE in all, chosen by a
+hash of id and text, equal rows once. Learned only from text and non-null
+``lang`` of documents whose crc32(doc_id) mod 3 is not 1; prediction sees
+nothing but the text.
 
 Defined results: ``und`` with score 0 for null texts and texts without a
 letter, and for all texts if nothing could be learned; rows without doc_id are
-predicted, not learned from, and not held out; other columns are kept.
+predicted, not learned from, and not held out; other columns are kept, of any
+name, but for those named lang_pred or score, which are replaced.
 """
 
 from __future__ import annotations
@@ -27,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .carry import Carry
 from .textkernel import U, mix, slices
 
 #: Languages of one family share a name; others are a family of their own.
@@ -42,7 +50,9 @@ ORDER_CODE = mix(np.array(ORDERS, np.uint64))
 PER_LANGUAGE = 500
 #: Documents of all languages together; each takes BUCKETS * orders floats of the driver.
 SAMPLE = 2000
-LANGUAGES = 64
+LEAST = 40
+#: Languages outside the table of families that are families of their own.
+ALONE = 12
 UNDETERMINED = "und"
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -115,8 +125,8 @@ class Machines:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, rounds: int = 120, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by accelerated gradient; classes weigh alike, rows with y = 0 nothing."""
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * (y != 0)
+    """Linear SVM with squared hinge loss by accelerated gradient; classes weigh alike."""
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w, v, b, vb = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32), 0.0, 0.0
     step = 1.0 / (2 * float(share @ np.einsum("ij,ij->i", x, x)) + 2 + ridge)
     t = 1.0
@@ -136,27 +146,49 @@ def _slope(margin: np.ndarray, y: np.ndarray) -> float:
     return float(grid[np.argmin([np.logaddexp(0, -y * margin * s).mean() for s in grid])])
 
 
+def families_of(languages: list[str], means: np.ndarray) -> list[str]:
+    """Family of each language: from the table, itself, or the nearest of about sqrt(n) far-apart ones."""
+    found = [FAMILY.get(n, n) for n in languages]
+    free = [i for i, n in enumerate(languages) if n not in FAMILY]
+    if len(free) <= ALONE:
+        return found
+    points = means[free]
+    heads = [0]
+    far = ((points - points[0]) ** 2).sum(axis=1)
+    nearest = np.zeros(len(free), int)
+    while len(heads) < len(free) ** 0.5 and far.max() > 0:
+        heads.append(int(far.argmax()))
+        d = ((points - points[heads[-1]]) ** 2).sum(axis=1)
+        nearest, far = np.where(d < far, len(heads) - 1, nearest), np.minimum(far, d)
+    for i, k in zip(free, nearest.tolist(), strict=True):
+        found[i] = f"like {languages[free[heads[k]]]}"
+    return found
+
+
 def train(x: np.ndarray, labels: list[str]) -> Machines:
     """Machines from frequencies ``x`` (texts x BUCKETS * orders, scaled in place) and their languages."""
     languages = sorted(set(labels))
-    families = [FAMILY.get(n, n) for n in languages]
-    names = sorted(set(families))
-    lang = np.array([languages.index(n) for n in labels])
-    fam = np.array([names.index(families[i]) for i in lang])
+    place = {n: i for i, n in enumerate(languages)}
+    lang = np.array([place[n] for n in labels])
     scale = np.float32(1) / np.sqrt(x.mean(axis=0) + np.float32(1e-5))
     x *= scale
+    families = families_of(languages, np.stack([x[lang == i].mean(axis=0) for i in range(len(languages))]))
+    names = sorted(set(families))
+    fam = np.array([names.index(families[i]) for i in lang])
     pairs, outer, columns, bias, slopes = [], [], [], [], []
     jobs = [(i, j, True) for i, j in combinations(range(len(names)), 2)]
     jobs += [(i, j, False) for i, j in combinations(range(len(languages)), 2) if families[i] == families[j]]
     for i, j, is_family in jobs:
         of = fam if is_family else lang
-        y = (of == i) * 1.0 - (of == j)
-        w, b = _svm(x, y)
+        # Only the rows of the two sides: rows of others would weigh nothing.
+        rows = np.flatnonzero((of == i) | (of == j))
+        part, y = (x if len(rows) == len(x) else x[rows]), np.where(of[rows] == i, 1.0, -1.0)
+        w, b = _svm(part, y)
         pairs.append((i, j))
         outer.append(is_family)
         columns.append(w * scale)
         bias.append(b)
-        slopes.append(_slope((x @ w + b)[y != 0], y[y != 0]))
+        slopes.append(_slope(part @ w + b, y))
     weights = np.array(columns, np.float32).T if columns else np.zeros((x.shape[1], 0), np.float32)
     return Machines(languages, families, pairs, outer, np.ascontiguousarray(weights), np.array(bias), np.array(slopes))
 
@@ -200,17 +232,23 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Machines | None:
-    """Train on a bounded sample of the labelled documents that are not held out."""
-    usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).where(F.col("text").rlike(r"\p{L}"))
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Machines | None:
+    """Train on a bounded sample of the labelled documents that are not held out.
+
+    The driver holds a count for each language and the drawn documents' n-gram
+    shares: at most about half as many more than ``per_language`` asks.
+    """
     labelled = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = labelled.groupBy("lang").count().collect()
     if not counts:
         return None
-    each = min(per_language, max(1, SAMPLE // len(counts)))
+    each = min(per_language, max(LEAST, SAMPLE // len(counts)))
     share = F.try_element_at(F.create_map(*[F.lit(v) for r in counts for v in (r[0], each / r[1])]), F.col("lang"))
     drawn = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = usable.where(drawn < share).select("text", "lang").mapInArrow(_sparse, "lang string, at binary, share binary").collect()
+    rows = labelled.where((drawn < share) & F.col("text").rlike(r"\p{L}")).select("text", "lang", F.xxhash64("lang", "doc_id", "text").alias("h"))
+    # Repeated rows count once; the limit holds whatever the ids are.
+    rows = rows.dropDuplicates(["lang", "h"]).orderBy("h").limit(each * len(counts) * 3 // 2 + 100).select("text", "lang")
+    rows = rows.mapInArrow(_sparse, "lang string, at binary, share binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r[0], bytes(r[1]), bytes(r[2])))
@@ -224,25 +262,22 @@ def _predict(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = sent.value
         for batch in batches:
-            asked = batch.column("__lettered").to_pylist()
-            texts = [t if ok else b"" for t, ok in zip(batch.column("__text").cast(pa.binary()).to_pylist(), asked, strict=True)]
+            asked = batch.column("lettered").to_pylist()
+            texts = [t if ok else b"" for t, ok in zip(batch.column("text").cast(pa.binary()).to_pylist(), asked, strict=True)]
             names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             rows = [i for i, ok in enumerate(asked) if ok]
             if machines and rows:
                 found, sure = machines.predict(margins(machines, [texts[i] for i in rows]))
                 for i, name, s in zip(rows, found, sure.tolist(), strict=True):
                     names[i], scores[i] = name, s
-            kept_names = [f.name for f in batch.schema if f.name not in ("__text", "__lettered")]
-            kept = [batch.column(n) for n in kept_names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept_names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
 
     return run
 
 
 def identify(docs: DataFrame, machines: Machines | None, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with lang_pred and score of each whole text."""
-    spark = docs.sparkSession
-    asked = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__lettered"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    sent = spark.sparkContext.broadcast(machines)
-    return asked.mapInArrow(_predict(sent), f"{schema}, lang_pred string, score double")
+    carry = Carry(docs, keep, "lang_pred string, score double")
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
+    asked = docs.select(carry.column.alias("row"), "text", lettered)
+    return carry.run(asked, _predict(docs.sparkSession.sparkContext.broadcast(machines)))

@@ -30,6 +30,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from .carry import Carry
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words remembered per task; beyond, the memory starts anew.
@@ -176,48 +178,47 @@ class Encoder:
         return self.pieces[at].tobytes()[1:].decode("utf-8", "replace")
 
 
-def _encode(sent, names: list[str]):
+def _encode(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                texts = part.column("__text").to_pylist()
+                texts = part.column("text").to_pylist()
                 found = [b"" if t is None else encoder.encode_bytes(t) for t in texts]
                 same = [t is None or encoder.decode(np.frombuffer(x, np.int32)) == t for x, t in zip(found, texts, strict=True)]
                 ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 tokens = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([t is None for t in texts]))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), tokens, pa.array(same)], names=[*names, "tokens", "exact"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), tokens, pa.array(same)], names=["row", "tokens", "exact"])
 
     return run
 
 
-def _decode(sent, names: list[str]):
+def _decode(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                texts = [None if t is None else encoder.decode(t) for t in part.column("__tokens").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
+                texts = [None if t is None else encoder.decode(t) for t in part.column("tokens").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "decoded"])
 
     return run
 
 
-def _ddl(df: DataFrame, names: list[str]) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*names).schema)
-
-
 def encode(docs: DataFrame, keep: list[str], model: Model | None = None) -> DataFrame:
-    """Columns ``keep`` of ``docs``, ``tokens`` of the whole text, and ``exact``: they decode to it."""
+    """Columns ``keep`` of ``docs``, ``tokens`` of the whole text, and ``exact``: they decode to it.
+
+    Kept columns may have any name; those named tokens or exact are replaced.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model or load())
-    ddl = ", ".join(x for x in (_ddl(docs, keep), "tokens array<int>, exact boolean") if x)
-    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(_encode(sent, keep), ddl)
+    carry = Carry(docs, keep, "tokens array<int>, exact boolean")
+    return carry.run(docs.select(carry.column.alias("row"), docs["text"].alias("text")), _encode(sent))
 
 
 def decode(encoded: DataFrame, keep: list[str], model: Model | None = None) -> DataFrame:
-    """Columns ``keep`` of ``encoded`` and ``decoded``, the text of its ``tokens``."""
+    """Columns ``keep`` of ``encoded`` (but for one named so) and ``decoded``, the text of its ``tokens``."""
     sent = encoded.sparkSession.sparkContext.broadcast(model or load())
-    ddl = ", ".join(x for x in (_ddl(encoded, keep), "decoded string") if x)
-    return encoded.select(*keep, encoded["tokens"].alias("__tokens")).mapInArrow(_decode(sent, keep), ddl)
+    carry = Carry(encoded, keep, "decoded string")
+    return carry.run(encoded.select(carry.column.alias("row"), encoded["tokens"].alias("tokens")), _decode(sent))

@@ -54,3 +54,32 @@ def test_scores_do_not_depend_on_neighbours():
     x = langid.frequencies([b"abc def", b"ghi"])
     y = np.concatenate([langid.frequencies([b"abc def"]), langid.frequencies([b"zzz", b"ghi"])[1:]])
     assert np.array_equal(x, y)
+
+
+def test_kept_columns_may_have_any_name(spark):
+    rows = [(*r, 7, "x", 1, True) for r in corpus(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, lang_pred string, row int, lettered boolean")
+    out = langid.identify(df, langid.fit(df), df.columns)
+    assert out.columns == ["doc_id", "text", "lang", "row", "lettered", "lang_pred", "score"]
+    got = out.collect()
+    assert {(r.row, r.lettered) for r in got} == {(1, True)} and {r.lang_pred for r in got} <= set(WORDS)
+
+
+def test_repeated_rows_are_drawn_once(spark):
+    rows = corpus(200) + [(4, corpus(200)[4][1], corpus(200)[4][2])] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    out = {(r.doc_id, r.lang_pred, r.score) for r in langid.identify(df, langid.fit(df), ["doc_id"]).collect()}
+    assert len(out) == 200
+
+
+def test_every_language_is_learned(spark):
+    """More languages than the table of families knows, each with its own letters."""
+    rng, rows = random.Random(3), []
+    names = [f"x{k:02d}" for k in range(66)]
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(12)] for n in names}
+    for i in range(66 * 24):
+        rows.append((i, " ".join(rng.choice(words[names[i % 66]]) for _ in range(40)), names[i % 66]))
+    out = run(spark, rows)
+    held = [r for r in out.values() if r.held_out]
+    assert {r.lang_pred for r in held} == set(names)
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.95

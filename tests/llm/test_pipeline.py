@@ -1,7 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from orthoskein.llm import langid
 
 
 def corpus(spark):
@@ -45,11 +46,14 @@ def test_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
-def test_only_documents_without_a_letter_go(spark):
-    docs = corpus(spark)
-    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
-    want = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").collect()}
-    assert kept == want and langid.UNDETERMINED == "und"
+def test_language_is_the_predicted_one(spark):
+    """Documents without a letter go; a missing label and a wrong one (of a held-out document) are replaced."""
+    docs = corpus(spark).withColumn("lang", F.expr("CASE WHEN doc_id = 15 THEN 'en' WHEN doc_id = 8 THEN NULL ELSE lang END"))
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept.keys() == {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").collect()}
+    assert kept[15] == "fr" and kept[8] == "en" and set(kept.values()) == {"en", "fr"}
+    unlabelled = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert {r.doc_id for r in unlabelled.collect()} == kept.keys()
 
 
 def test_one_of_repeated_rows_stays(spark):
@@ -60,3 +64,15 @@ def test_one_of_repeated_rows_stays(spark):
     got = sorted((tuple(r)[:4] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()), key=str)
     want = [(1, long, "en", "s0"), (1, other, "en", "s0"), (3, "", "en", "s0"), (4, "", "en", "s0"), (None, long, "en", "s0"), (None, other, None, "s0"), (5, None, "en", "s0")]
     assert got == sorted(want, key=str)
+
+
+def test_long_texts_and_ties(spark, tmp_path):
+    """A text of a megabyte goes through whole; equal texts of several sources leave one document."""
+    line = lambda i: f"sentence number {i} of the long text that has its own words w{i * 7} and x{i * 13}"
+    long = "\n".join(line(i) for i in range(14_000))
+    rows = [(1, long, "en", "a", len(long)), (2, "the of and to in that " * 40, "en", "b", 9), (3, "the of and to in that " * 40, "en", "c", 9), (4, "und der die das nicht ein " * 30, "de", None, 9)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    near = corpus_pipeline.near_dedup(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), "")
+    assert sorted(r.doc_id for r in near.collect()) == [1, 2, 4]
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert all(r.exact for r in out) and max((r.n_tokens for r in out if r.doc_id == 1), default=0) > 100_000

@@ -51,3 +51,11 @@ def test_memory_of_words_does_not_matter(model, monkeypatch):
     monkeypatch.setattr(sp, "REMEMBERED", 3)
     text = "one two three four five six one two three "
     assert sp.Encoder(model).encode(text) == [i for w in ("▁" + text.replace(" ", "▁"),) for i in sp.viterbi(model, w)]
+
+
+def test_kept_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, "some text", 5, "a", 2, 3), (1, "some text", 5, "a", 2, 3)], "doc_id long, text string, tokens int, exact string, row int, none int")
+    out = sp.encode(df, df.columns)
+    assert out.columns == ["doc_id", "text", "row", "none", "tokens", "exact"]
+    back = sp.decode(out.withColumn("decoded", out.row), ["doc_id", "decoded", "row"])
+    assert [tuple(r) for r in back.collect()] == [(1, 2, "some text")] * 2
