@@ -1,4 +1,13 @@
-"""Corpus pipeline: five stages over ``documents``, each written and read again."""
+"""Corpus pipeline: five stages over ``documents``, each written and read again.
+
+Odd rows: null texts, empty texts and texts without a letter go in the first
+stage. Rows without doc_id take part: they lose no lines, link with nothing,
+and are mixed and encoded as others are. Of repeated rows (equal doc_id and
+text) near-dedup keeps one. A document that loses all its lines stays, empty,
+until the mix, which takes no words from it. Texts of any length are whole;
+columns beyond those of documents are not carried; an empty table gives an
+empty result.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +21,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: null texts and texts without a letter."""
-    found = langid.identify(docs, langid.fit(docs), COLUMNS)
-    return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
+    """Drop documents without a language; ``lang`` becomes the language found in the text.
+
+    Null texts and texts without a letter have none. Labels that were missing or
+    wrong thus do not reach the mix and the tokens. Where there is nothing to
+    learn from, all texts with a letter stay as they are.
+    """
+    machines = langid.fit(docs)
+    if machines is None:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
+    found = langid.identify(docs, machines, COLUMNS).where(F.col("lang_pred") != langid.UNDETERMINED)
+    return found.select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in COLUMNS))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
