@@ -40,6 +40,11 @@ def usable_fix(lat: Column, lon: Column) -> Column:
     return F.coalesce((F.abs(lat) <= 90.0) & (F.abs(lon) <= 180.0) & ~F.isnan(lat) & ~F.isnan(lon), F.lit(False))
 
 
+def yaw_from(yaw: Column, reference: Column) -> Column:
+    """Yaw in degrees relative to the reference's, in [-180, 180)."""
+    return wrap_degrees(yaw - reference)
+
+
 def pixels_per_metre(diagonal_px: Column, altitude_m: Column, fov_deg: Column) -> Column:
     return diagonal_px / (2 * altitude_m * F.tan(F.radians(fov_deg) / 2))
 
@@ -92,6 +97,12 @@ def jacobian(m: Matrix, x: Column, y: Column) -> Matrix:
     return [(m[0] - u * m[6]) / safe, (m[1] - u * m[7]) / safe, (m[3] - v * m[6]) / safe, (m[4] - v * m[7]) / safe]
 
 
+def central_jacobian(m: Matrix, x: Column, y: Column, step: Column) -> Matrix:
+    """2x2 Jacobian by central differences, as four columns; NULL if one of the four points does not project."""
+    (xr, yr), (xl, yl), (xd, yd), (xu, yu) = (project(m, *p) for p in ((x + step, y), (x - step, y), (x, y + step), (x, y - step)))
+    return [v / (2 * step) for v in (xr - xl, xd - xu, yr - yl, yd - yu)]
+
+
 def relative_rotation(m: Matrix, x: Column, y: Column) -> Column:
     """Rotation of an edge at its source centre; NULL where orientation is reversed."""
     a, b, c, d = jacobian(m, x, y)

@@ -105,14 +105,19 @@ def _tiles(x0: float, y0: float, height: int, width: int):
     return run
 
 
+def finite(poses: DataFrame) -> DataFrame:
+    """Poses all of whose cells are finite numbers."""
+    return poses.where(" AND ".join(f"t{i}{j} IS NOT NULL AND NOT isnan(t{i}{j}) AND abs(t{i}{j}) < double('infinity')" for i in range(3) for j in range(3)))
+
+
 def warp_tiles(images: DataFrame, poses: DataFrame) -> DataFrame:
     """Tiles of all images warped into one canvas; images without a pixel on it give none."""
-    finite = poses.where(" AND ".join(f"NOT isnan(t{i}{j}) AND abs(t{i}{j}) < double('infinity')" for i in range(3) for j in range(3)))
-    box = canvas(finite).first()
+    usable = finite(poses)
+    box = canvas(usable).first()
     if box.height is None:
         return images.sparkSession.createDataFrame([], TILE_SCHEMA)
     cells = [f"t{i}{j}" for i in range(3) for j in range(3)]
-    joined = images.join(finite.select("image_id", *cells), "image_id")
+    joined = images.join(usable.select("image_id", *cells), "image_id")
     return joined.mapInPandas(_tiles(box.x0, box.y0, int(box.height), int(box.width)), TILE_SCHEMA)
 
 

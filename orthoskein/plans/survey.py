@@ -1,8 +1,8 @@
-"""A survey derived from ``supplier``: nodes in capture order, edges with homographies, matches.
+"""A survey derived from ``customer``: nodes in capture order, edges with homographies, matches.
 
 Equal-altitude nadir images along a serpentine: five images a line, 13.4 m
-apart on a course of 83 degrees, lines 27 m apart. Everything follows from the
-supplier key by closed formulas.
+apart on a course of 77 degrees, lines 27 m apart. Everything follows from the
+customer key by closed formulas.
 """
 
 from __future__ import annotations
@@ -13,18 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import EARTH_RADIUS_M, matrix, multiply, named, project
+from ..operators import headings, segments
 from ..operators.pairing import proximity_pairs
 
-#: Fixed values of the synthetic camera and its place.
-ROWS, COLS, PPM = 3040, 4056, 28.6966
-LAT0, LON0 = 36.4277901, -5.1262460
-COURSE = math.radians(83.0)
-YAW_EVEN, YAW_ODD = 70.8, -109.2
+#: The invented camera and its place.
+ROWS, COLS, PPM = 3000, 4000, 30.25
+LAT0, LON0 = 41.25, 2.125
+COURSE = math.radians(77.0)
+YAW_EVEN, YAW_ODD = 64.5, -115.5
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image_id, rows, cols, lat, lon, t, yaw and true metres e, nn."""
-    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("image_id"))
+    s = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("image_id"))
     line, place = F.floor(F.col("image_id") / 5), F.col("image_id") % 5
     step = F.when(line % 2 == 0, place).otherwise(4 - place) * 13.4
     side = line * 27.0
@@ -93,3 +94,28 @@ def loops(links: DataFrame) -> DataFrame:
     return tri.select(F.concat_ws("-", "a", "b", "c").alias("loop_id"), path)
 
 
+
+
+def poses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The true pose of every image in a frame of pixels, north up: image_id, rows, cols, t00..t22."""
+    n = nodes(spark, sf_dir)
+    c, s = F.cos(F.radians("yaw")), F.sin(F.radians("yaw"))
+    cx, cy = COLS / 2.0, ROWS / 2.0
+    cells = [c, -s, PPM * F.col("e") - (c * cx - s * cy), s, c, -PPM * F.col("nn") - (s * cx + c * cy), F.lit(0.0), F.lit(0.0), F.lit(1.0)]
+    return n.select("image_id", "rows", "cols", *[v.alias(f"t{k // 3}{k % 3}") for k, v in enumerate(cells)])
+
+
+def lag_observations(spark: SparkSession, sf_dir: str, lag_m: float) -> DataFrame:
+    """Both ends' observations of every edge, of a survey recorded ``lag_m`` late along its track."""
+    true = segments.travel_directions(segments.segments(nodes(spark, sf_dir), [], "t", "image_id"), [])
+    late = segments.shift_by_lag(true, F.lit(-lag_m))
+    links = headings.edge_geometry(edges(true), late).select("src", "dst", "east", "north", "bx", "by", "fx", "fy")
+    way = lambda to, name: late.where("ux is not null").select(F.col("image_id").alias(to), F.col("ux").alias(f"ux_{name}"), F.col("uy").alias(f"uy_{name}"))
+    ends = F.inline(
+        F.array(
+            F.struct(F.col("src").alias("node"), F.lit(1.0).alias("side"), F.atan2("by", "bx").alias("alpha")),
+            F.struct(F.col("dst").alias("node"), F.lit(-1.0).alias("side"), F.atan2("fy", "fx").alias("alpha")),
+        )
+    )
+    both = links.join(way("src", "a"), "src").join(way("dst", "b"), "dst")
+    return both.select("src", "dst", "east", "north", "ux_a", "uy_a", "ux_b", "uy_b", ends).withColumn("sigma", F.lit(headings.SIGMA_RAD))

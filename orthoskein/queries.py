@@ -7,11 +7,12 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.geometry import wrap
-from .operators import headings, metrics, pairing, segments
+from .functions.geometry import matrix, project, wrap, yaw_from
+from .functions.geometry import pixels_per_metre as pinhole_scale
+from .operators import headings, lag, metrics, pairing, posegraph, raster, refine, report, rotation, segments, sets
 from .operators.components import components
-from .plans import survey
-from .sources import metadata
+from .plans import estimate, photos, survey
+from .sources import exif, metadata
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,6 +164,221 @@ def run_status(spark, sf_dir):
     return done.select("o_custkey", "total", "ok", metrics.run_status(F.col("total"), F.col("ok")).alias("status"), F.round(metrics.ratio(F.col("ok"), F.col("total")), 9).alias("success_rate"))
 
 
+def exif_gps_fields(spark, sf_dir):
+    """Rationals of the GPS directory, in lowest terms."""
+    e = F.col("exif")
+    part = lambda c, i, f: F.get(e[c], i)[f]
+    cells = [part(c, i, f).alias(f"{c}{i}_{f}") for c in ("lat", "lon") for i in range(3) for f in ("num", "den")]
+    return exif.read_exif(photos.files(spark, sf_dir), "image_id").select("image_id", e["has_gps"].alias("has_gps"), e["lat_ref"].alias("lat_ref"), e["lon_ref"].alias("lon_ref"), *cells)
+
+
+def gps_positions(spark, sf_dir):
+    """Position with absolute and relative altitude, and its source."""
+    rows = metadata.read_metadata(photos.files(spark, sf_dir), "image_id")
+    return rows.select("image_id", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), "source", F.round("abs_alt_m", 6).alias("abs_alt_m"), F.round("rel_alt_m", 6).alias("rel_alt_m"))
+
+
+def exif_latlons(spark, sf_dir):
+    rows = metadata.exif_positions(metadata.read_metadata(photos.files(spark, sf_dir), "image_id"), "image_id")
+    return rows.select("image_id", F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"))
+
+
+def capture_times(spark, sf_dir):
+    rows = metadata.capture_times(metadata.read_metadata(photos.files(spark, sf_dir), "image_id"), "image_id")
+    return rows.select("image_id", F.round("t", 6).alias("t"))
+
+
+def gimbal_yaws(spark, sf_dir):
+    """Yaw of each file that tells one, and relative to that of the least such file."""
+    rows = metadata.read_metadata(photos.files(spark, sf_dir), "image_id").where("gimbal_yaw_deg is not null").select("image_id", "gimbal_yaw_deg")
+    first = rows.agg(F.min(F.struct("image_id", "gimbal_yaw_deg")).alias("o")).select(F.col("o.gimbal_yaw_deg").alias("yaw0"))
+    turned = yaw_from(F.col("gimbal_yaw_deg"), F.col("yaw0"))
+    return rows.crossJoin(F.broadcast(first)).select("image_id", F.round("gimbal_yaw_deg", 6).alias("gimbal_yaw_deg"), F.round(turned, 6).alias("relative_deg"))
+
+
+def camera_attributes(spark, sf_dir):
+    rows = photos.files(spark, sf_dir).select("image_id", metadata.camera_attributes(F.col("content")).alias("m"))
+    return rows.select("image_id", F.size("m").cast("long").alias("attributes"), F.try_element_at("m", F.lit("RelativeAltitude")).alias("relative"), F.try_element_at("m", F.lit("Yaw")).alias("other_yaw"))
+
+
+def projected_positions(spark, sf_dir):
+    """East and north metres of every image from the image of least id."""
+    out = estimate.project_positions(survey.nodes(spark, sf_dir))
+    return out.select("image_id", F.round("east", 6).alias("east"), F.round("north", 6).alias("north"))
+
+
+def gps_placement(spark, sf_dir):
+    """Frame pixels from a chosen origin; every seventh image has no position and is listed as unlocated."""
+    nodes = survey.nodes(spark, sf_dir).withColumn("lat", F.when(F.col("image_id") % 7 != 3, F.col("lat")))
+    placed = estimate.place_by_gps(nodes, survey.PPM, origin=1)
+    inside = placed.centres.select("image_id", F.lit(True).alias("located"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+    nowhere = placed.unlocated.select("image_id", F.lit(False).alias("located"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    return inside.unionByName(nowhere)
+
+
+def pixels_per_metre(spark, sf_dir):
+    """From altitude and diagonal field of view, for flights at several heights."""
+    rows = survey.nodes(spark, sf_dir).withColumn("altitude", 60.0 + 10.0 * (F.col("image_id") % 9))
+    scale = pinhole_scale(F.hypot("rows", "cols"), F.col("altitude"), F.lit(77.0))
+    return rows.groupBy("altitude").agg(F.round(F.max(scale), 9).alias("px_per_m"), F.count("*").alias("images"))
+
+
+def usable_edges(spark, sf_dir):
+    """Edges of four inliers or more with a finite homography that can be inverted."""
+    links = survey.edges(survey.nodes(spark, sf_dir))
+    counts = survey.matches(links).groupBy("src", "dst").agg(F.count_if(F.col("is_inlier") & ((F.col("src") + F.col("k")) % 3 > 0)).alias("inlier_count"))
+    case = (F.col("src") * 5 + F.col("dst")) % 17
+    broken = links.withColumn("h02", F.when(case == 0, F.lit(float("nan"))).when(case == 1, F.lit(float("inf"))).otherwise(F.col("h02")))
+    flat = F.col("h11") * 0.0
+    broken = broken.withColumn("h10", F.when(case == 2, flat).otherwise(F.col("h10"))).withColumn("h11", F.when(case == 2, flat).otherwise(F.col("h11")))
+    return estimate.usable_edges(broken, counts).select("src", "dst", "inlier_count")
+
+
+def edge_weights(spark, sf_dir):
+    """Inliers of each edge over their median."""
+    links = survey.edges(survey.nodes(spark, sf_dir))
+    counts = metrics.inlier_stats(survey.matches(links), ["src", "dst"])
+    middle = metrics.median_inliers(counts, "inlier_count")
+    return counts.crossJoin(F.broadcast(middle)).select("src", "dst", F.round(F.col("inlier_count") / F.col("median_inliers"), 9).alias("weight"))
+
+
+def heading_anchors(spark, sf_dir):
+    """Robust circular mean of each image's headings, some of them off by 30 degrees."""
+    nodes = survey.nodes(spark, sf_dir)
+    seen = headings.heading_observations(survey.edges(nodes, True), nodes).withColumn("weight", 1.0 + F.col("src") % 3)
+    return headings.heading_anchors(seen).select("node", F.round("heading", 6).alias("heading"))
+
+
+def plain_heading_anchors(spark, sf_dir):
+    nodes = survey.nodes(spark, sf_dir)
+    seen = headings.heading_observations(survey.edges(nodes, True), nodes).withColumn("weight", 1.0 + F.col("src") % 3)
+    return headings.heading_anchors(seen, robust=False).select("node", F.round("heading", 6).alias("heading"))
+
+
+def component_offsets(spark, sf_dir):
+    """Turn of each line of flight that brings its own angles to the headings seen."""
+    nodes = survey.nodes(spark, sf_dir)
+    angles = nodes.select(F.col("image_id").alias("node"), (F.radians("yaw") - 0.001 * (F.col("image_id") % 5)).alias("angle"), F.floor(F.col("image_id") / 5).alias("component"))
+    seen = headings.heading_observations(survey.edges(nodes), nodes).withColumn("weight", 1.0 + F.col("src") % 3)
+    return rotation.component_offsets(angles, seen).select("component", F.round("offset", 6).alias("offset"))
+
+
+def aligned_poses(spark, sf_dir):
+    """Rigid pose of each image from its angle, its offset and its centre in the frame."""
+    nodes = survey.nodes(spark, sf_dir)
+    angles = nodes.select(F.col("image_id").alias("node"), F.lit(0.0).alias("angle"), F.floor(F.col("image_id") / 5).alias("component"))
+    seen = nodes.select(F.col("image_id").alias("node"), F.radians("yaw").alias("h"), F.lit(1.0).alias("weight"))
+    out = rotation.poses(rotation.align_components(angles, seen), estimate.place(nodes, survey.PPM))
+    return out.select("image_id", *[F.round(c, 4).alias(c) for c in ("t00", "t01", "t02", "t10", "t11", "t12")])
+
+
+def numbered_components(spark, sf_dir):
+    """Flights as components numbered in the order of their least images."""
+    rows = survey.nodes(spark, sf_dir).select(F.col("image_id").alias("node"), (1000 - F.floor(F.col("image_id") / 20)).alias("component"))
+    return rotation.numbered(rows)
+
+
+def failure_reasons(spark, sf_dir):
+    """Why images have no pose, where edges, positions, accepted edges and alignments are missing by turns."""
+    nodes = survey.nodes(spark, sf_dir).select("image_id")
+    but = lambda n, r: nodes.where(F.col("image_id") % n != r)
+    return report.failure_reasons(nodes, but(5, 1), but(7, 2), but(3, 0), nodes.where("image_id % 2 = 0 and image_id % 5 <> 1 and image_id % 7 <> 2 and image_id % 3 <> 0"), nodes.where("image_id % 11 < 4"))
+
+
+def canvas_size(spark, sf_dir):
+    """Origin and size of the canvas that holds every image of the survey in its true pose."""
+    return raster.canvas(survey.poses(spark, sf_dir)).select(F.round("x0", 4).alias("x0"), F.round("y0", 4).alias("y0"), "height", "width")
+
+
+def canvas_boxes(spark, sf_dir):
+    box = raster.corners(survey.poses(spark, sf_dir))
+    return box.select("image_id", *[F.round(c, 4).alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+def overlapping_footprints(spark, sf_dir):
+    """Pairs of images whose boxes on the canvas overlap."""
+    box = raster.corners(survey.poses(spark, sf_dir)).withColumnRenamed("image_id", "id")
+    return pairing.box_overlap_pairs(box, 8000.0)
+
+
+def finite_transforms(spark, sf_dir):
+    case = F.col("image_id") % 9
+    poses = survey.poses(spark, sf_dir).withColumn("t02", F.when(case == 1, F.lit(float("nan"))).when(case == 2, F.lit(float("-inf"))).when(case == 3, F.lit(None)).otherwise(F.col("t02")))
+    return raster.finite(poses).select("image_id")
+
+
+def summary_metrics(spark, sf_dir):
+    """The metrics row of the survey; every fourth image failed."""
+    nodes = survey.nodes(spark, sf_dir)
+    links = survey.edges(nodes)
+    process = report.process_row(nodes, nodes.where("image_id % 4 <> 0"), 60.0)
+    row = report.evaluate_metrics(process, survey.matches(links), links, survey.poses(spark, sf_dir), "closed form")
+    whole = ("pipeline_status", "input_image_count", "successful_image_count", "failed_image_count", "inlier_count", "method")
+    parts = [F.round(c, 6).alias(c) for c in ("stitch_success_rate", "avg_processing_time_per_image_sec", "reprojection_error_px", "inlier_ratio", "distortion")]
+    return row.select(*whole, *parts, F.size("failed_image_indices").cast("long").alias("failed"), F.isnan("seam_error").alias("no_seam"))
+
+
+def lag_objective(spark, sf_dir):
+    """The robust objective at the 401 lags of the grid, over the observations of all images, recorded 2.3 m late."""
+    out = lag.grid_objective(survey.lag_observations(spark, sf_dir, 2.3))
+    return out.select("step", F.round("objective", 2).alias("objective"))
+
+
+def huber_losses(spark, sf_dir):
+    """Sum of Huber losses of standardised discounts by line status."""
+    z = (F.col("l_discount") - 0.05) / 0.02
+    rows = _table(spark, sf_dir, "lineitem").select("l_linestatus", lag.huber(z).alias("loss"))
+    return rows.groupBy("l_linestatus").agg(F.round(F.sum("loss"), 4).alias("loss"))
+
+
+def edge_sigmas(spark, sf_dir):
+    """Spread of each edge's matches, at least 0.1 px."""
+    links = survey.edges(survey.nodes(spark, sf_dir))
+    # Matches of odd sources are read off their edge, so that these stand at the floor.
+    x, y = project(matrix(), F.col("sx"), F.col("sy"))
+    told = survey.matches(links).join(links, ["src", "dst"])
+    small = told.select("src", "dst", "k", "sx", "sy", "is_inlier", *[F.when(F.col("src") % 2 == 1, v).otherwise(F.col(c)).alias(c) for c, v in (("dx", x), ("dy", y))])
+    out = refine.edge_sigma(small, links)
+    return out.select("src", "dst", F.round("sigma", 6).alias("sigma"))
+
+
+def relative_maps(spark, sf_dir):
+    """Edges as affine maps about the source's centre, with their weights."""
+    nodes = survey.nodes(spark, sf_dir)
+    links = survey.edges(nodes, True)
+    counts = metrics.inlier_stats(survey.matches(survey.edges(nodes)), ["src", "dst"])
+    out = posegraph.relative_maps(links, nodes, counts, 4.0)
+    return out.select("src", "dst", *[F.round(c, 6).alias(c) for c in ("m00", "m01", "m10", "m11", "mx", "my", "weight")])
+
+
+def node_sets(spark, sf_dir):
+    """Images with a usable edge, without one, and without a pose, as set operations on ids."""
+    nodes = survey.nodes(spark, sf_dir).select("image_id")
+    links = survey.edges(survey.nodes(spark, sf_dir)).where("(src + dst) % 4 = 0 and src % 6 <> 5")
+    seen = sets.endpoints(links)
+    posed = nodes.where("image_id % 3 <> 1")
+    parts = (("evidenced", sets.present(nodes, seen)), ("without_edge", sets.missing(nodes, seen)), ("unposed", sets.missing(sets.present(nodes, seen), posed)), ("either", sets.union(seen, posed)))
+    out = None
+    for name, t in parts:
+        row = t.agg(F.lit(name).alias("kind"), F.count("*").alias("n"), F.sum("image_id").alias("ids"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def edge_endpoints(spark, sf_dir):
+    """Edges both of whose ends have an angle, in the same component."""
+    nodes = survey.nodes(spark, sf_dir)
+    angles = nodes.where("image_id % 4 <> 2").select(F.col("image_id").alias("node"), F.radians("yaw").alias("angle"), F.floor(F.col("image_id") / 15).alias("component"))
+    out = sets.with_both_ends(survey.edges(nodes), angles)
+    return out.select("src", "dst", F.round(wrap(F.col("angle_b") - F.col("angle_a")), 6).alias("turn"), "component")
+
+
+def rounded_half_even(spark, sf_dir):
+    """Grey values rounded half to even, as mosaics round them."""
+    half = F.floor(F.col("l_quantity")) / 2
+    return _table(spark, sf_dir, "lineitem").groupBy(F.rint(half).cast("long").alias("grey")).agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -170,5 +386,9 @@ QUERIES = {
         reprojection_rmse, pair_metrics, cycle_loop_error, distortion, flight_segments, travel_directions, shift_by_lag, circular_mean_time_of_day,
         heading_observations, heading_consensus, edge_consistency_reasons, rejection_histogram, median_px_per_metre, densest_window, connected_components,
         attribute_map_extract, provenance_coalesce, run_status,
+        exif_gps_fields, gps_positions, exif_latlons, capture_times, gimbal_yaws, camera_attributes, projected_positions, gps_placement, pixels_per_metre,
+        usable_edges, edge_weights, heading_anchors, plain_heading_anchors, component_offsets, aligned_poses, numbered_components, failure_reasons, canvas_size,
+        canvas_boxes, overlapping_footprints, finite_transforms, summary_metrics, lag_objective, huber_losses, edge_sigmas, relative_maps, node_sets,
+        edge_endpoints, rounded_half_even,
     )
 }

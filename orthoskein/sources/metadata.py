@@ -1,24 +1,38 @@
-"""Image metadata from text packets: attributes, positions, capture times."""
+"""Image metadata from EXIF blocks and text packets: attributes, positions, altitudes, capture times."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import exif
+
+
+#: The packet's frame and the attributes of the camera's namespace in it.
+PACKET = r"(?s)<\?xpacket begin=.*?<\?xpacket end=.*?\?>"
+CAMERA_ATTRIBUTE = r'drone-dji:(\w+)="([^"]*)"'
+
 
 def attributes(packet: Column, pattern: str = r'([A-Za-z][\w:.-]*)="([^"]*)"') -> Column:
     """All ``name="value"`` attributes as a map; the last of equal names wins."""
     names = F.regexp_extract_all(packet, F.lit(pattern), F.lit(1))
     values = F.regexp_extract_all(packet, F.lit(pattern), F.lit(2))
-    last = F.filter(F.sequence(F.lit(0), F.greatest(F.size(names) - 1, F.lit(0))), lambda i: (i < F.size(names)) & ~F.array_contains(F.slice(names, i + 2, F.size(names)), F.get(names, i)))
-    return F.map_from_arrays(F.transform(last, lambda i: F.get(names, i)), F.transform(last, lambda i: F.get(values, i)))
+    pairs = F.transform(F.arrays_zip(names.alias("n"), values.alias("v")), lambda p, i: F.struct(p["n"].alias("n"), i.alias("i"), p["v"].alias("v")))
+    # Bound as a lambda's variable, the sorted pairs are made once.
+    last = lambda s: F.filter(s, lambda p, i: ~F.coalesce(F.get(s, i + 1)["n"] == p["n"], F.lit(False)))
+    kept = F.get(F.transform(F.array(F.array_sort(pairs)), last), 0)
+    return F.map_from_entries(F.transform(kept, lambda p: F.struct(p["n"], p["v"])))
 
 
 def first_packet(content: Column) -> Column:
-    """The first metadata packet in raw bytes; NULL if there is none."""
-    text = F.decode(content, "ISO-8859-1")
-    found = F.regexp_extract(text, r"(?s)<x:xmpmeta.*?</x:xmpmeta>", 0)
-    return F.when(found != "", found)
+    """The first metadata packet in raw bytes, as UTF-8 text; NULL if there is none."""
+    found = F.regexp_extract(F.decode(content, "ISO-8859-1"), PACKET, 0)
+    return F.when(found != "", F.decode(F.encode(found, "ISO-8859-1"), "UTF-8"))
+
+
+def camera_attributes(content: Column) -> Column:
+    """The camera's attributes of the first packet; an empty map without a packet."""
+    return F.coalesce(attributes(first_packet(content), CAMERA_ATTRIBUTE), F.expr("map()").cast("map<string,string>"))
 
 
 def signed_decimal(text: Column) -> Column:
@@ -47,6 +61,50 @@ def capture_time(original: Column, fraction: Column) -> Column:
     return seconds + F.coalesce(part, F.lit(0.0))
 
 
+def altitudes(alt: Column, alt_ref: Column, xmp: Column) -> tuple[Column, Column]:
+    """Absolute (the packet's, else EXIF's, negative below the sea) and relative altitude (the packet's alone)."""
+    above = F.try_divide(alt["num"].cast("double"), alt["den"].cast("double"))
+    exif = F.when(alt_ref == 1, -above).otherwise(above)
+    absolute = F.try_element_at(xmp, F.lit("AbsoluteAltitude"))
+    return F.coalesce(F.when(absolute.isNotNull(), signed_decimal(absolute)), F.when(absolute.isNull(), exif)), signed_decimal(F.try_element_at(xmp, F.lit("RelativeAltitude")))
+
+
+def read_metadata(files: DataFrame, key: str = "path") -> DataFrame:
+    """One row a file: position and its source, altitudes, capture time and gimbal yaw.
+
+    key, exif (raw fields), xmp (the camera's attributes), lat, lon, source,
+    abs_alt_m, rel_alt_m, t, gimbal_yaw_deg; what a file does not tell is NULL.
+    EXIF gives the position if it has latitude and longitude with their
+    hemispheres, else the packet if it has both. Files are read once: the
+    packet is found by expressions, the EXIF block by one Arrow kernel.
+    """
+    told = files.select(key, "content", camera_attributes(F.col("content")).alias("xmp"))
+    kind = told.schema
+    raw = told.select(F.struct(key, "xmp").alias("row"), "content").mapInArrow(exif._read, f"row struct<`{key}`:{kind[key].dataType.simpleString()},xmp:map<string,string>>, exif {exif.DDL}")
+    rows = raw.select("row.*", "exif")
+    e = F.col("exif")
+    lat = F.when(e["lat_ref"].isNotNull(), degrees_of(e["lat"], e["lat_ref"]))
+    lon = F.when(e["lon_ref"].isNotNull(), degrees_of(e["lon"], e["lon_ref"]))
+    xmp = lambda name: signed_decimal(F.try_element_at("xmp", F.lit(name)))
+    high, low = altitudes(e["alt"], e["alt_ref"], F.col("xmp"))
+    out = rows.withColumn("fix", position(lat, lon, xmp("GpsLatitude"), xmp("GpsLongitude")))
+    has = F.col("fix").isNotNull()
+    return out.select(
+        key, "exif", "xmp", "fix.lat", "fix.lon", "fix.source", F.when(has, high).alias("abs_alt_m"), F.when(has, low).alias("rel_alt_m"),
+        capture_time(e["taken"], e["subsecond"]).alias("t"), xmp("GimbalYawDegree").alias("gimbal_yaw_deg"),
+    )
+
+
+def exif_positions(metadata: DataFrame, key: str = "path") -> DataFrame:
+    """(key, lat, lon) of files whose position is EXIF's; others have none here."""
+    return metadata.where("source = 'exif'").select(key, "lat", "lon")
+
+
+def capture_times(metadata: DataFrame, key: str = "path") -> DataFrame:
+    """(key, t) of files with a capture time."""
+    return metadata.where("t is not null").select(key, "t")
+
+
 def read_packets(df: DataFrame) -> DataFrame:
     """(path, attributes) of ``binaryFile`` rows; an empty map where a file has no packet."""
     return df.select("path", F.coalesce(attributes(first_packet(F.col("content"))), F.expr("map()").cast("map<string,string>")).alias("attributes"))

@@ -1,4 +1,4 @@
-"""Queries over all of a survey, against brute force on a supplier table with gaps and uneven lines."""
+"""Queries over all of a survey, against brute force on a customer table with gaps and uneven lines."""
 
 import itertools
 
@@ -14,7 +14,7 @@ KEYS = [*range(28), *range(200, 223), 500]
 
 @pytest.fixture
 def folder(spark, tmp_path):
-    spark.createDataFrame([(k,) for k in KEYS], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(k,) for k in KEYS], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
     return str(tmp_path)
 
 
