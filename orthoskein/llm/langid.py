@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .carry import Carry
-from .textkernel import U, mix, slices
+from .textkernel import U, mix, parts, slices
 
 #: Languages of one family share a name; others are a family of their own.
 FAMILY = {
@@ -66,7 +66,7 @@ def ngrams(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
     Runs of non-letters fold to single spaces. Four spaces stand between texts and
     a text's grams start after three of them, so neighbours never matter.
     """
-    for a, b in slices(texts, 1 << 20):
+    for a, b in slices(texts, 1 << 19):
         gap = b"\n" * PAD
         data = _FOLD[np.frombuffer(gap + gap.join(texts[a:b]) + gap, np.uint8)]
         edges = np.cumsum([0] + [len(t) + PAD for t in texts[a:b]])
@@ -262,15 +262,14 @@ def _predict(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = sent.value
         for batch in batches:
-            asked = batch.column("lettered").to_pylist()
-            texts = [t if ok else b"" for t, ok in zip(batch.column("text").cast(pa.binary()).to_pylist(), asked, strict=True)]
-            names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            rows = [i for i, ok in enumerate(asked) if ok]
-            if machines and rows:
-                found, sure = machines.predict(margins(machines, [texts[i] for i in rows]))
-                for i, name, s in zip(rows, found, sure.tolist(), strict=True):
-                    names[i], scores[i] = name, s
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
+            for part, texts in parts(batch):
+                names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+                rows = [i for i, ok in enumerate(part.column("lettered").to_pylist()) if ok]
+                if machines and rows:
+                    found, sure = machines.predict(margins(machines, [texts[i] for i in rows]))
+                    for i, name, s in zip(rows, found, sure.tolist(), strict=True):
+                        names[i], scores[i] = name, s
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"])
 
     return run
 
@@ -279,5 +278,6 @@ def identify(docs: DataFrame, machines: Machines | None, keep: list[str]) -> Dat
     """Columns ``keep`` of ``docs`` with lang_pred and score of each whole text."""
     carry = Carry(docs, keep, "lang_pred string, score double")
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    asked = docs.select(carry.column.alias("row"), "text", lettered)
+    # A kept text travels once, as a field of the row.
+    asked = docs.select(carry.column.alias("row"), *[c for c in ("text",) if c not in carry.names], lettered)
     return carry.run(asked, _predict(docs.sparkSession.sparkContext.broadcast(machines)))

@@ -1,13 +1,13 @@
 """Line deduplication with two Bloom filters.
 
-Every line's digest travels, packed by batch and by shard of its hash, with the
+Every line's digest travels, packed by part of a batch and by shard of its hash, with the
 place of the line. A shard streams the hashes through a once-seen filter; those
 met again form its twice-seen filter, which is sized to them. Only the places
 whose hash that filter holds go on: an exact group-by on the digest confirms
 them and chooses the first document. Filters have no false negatives and stay
-in their task; false positives end in the group-by. A line that a batch holds in
+in their task; false positives end in the group-by. A line that a part holds in
 several documents needs no answer: its places go on at once, spread over the
-shards, and its hash is sent to its own shard once a batch, so a line of any
+shards, and its hash is sent to its own shard once a part, so a line of any
 frequency costs a shard little.
 
 The digest is 128 bits of BLAKE2b over the whole key and stands for it.
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import input_bytes, shuffle_width, stash
 from . import blooms
+from .textkernel import parts
 
 MIN_KEY = 10
 SPACE = b" \t\n\x0b\x0c\r"
@@ -44,10 +45,10 @@ def line_keys(text: bytes | None) -> list[bytes]:
     return [k if len(k) >= 4 * MIN_KEY or len(k) >= MIN_KEY and len(k.decode("utf-8", "replace")) >= MIN_KEY else b"" for k in keys]
 
 
-def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _places(batch: pa.RecordBatch, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Digest and place of every line with a key, and the row of each."""
     digests, owners, lines = [], [], []
-    for i, t in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+    for i, t in enumerate(texts):
         keys = line_keys(t)
         at = [j for j, k in enumerate(keys) if k]
         digests += [blake2b(keys[j], digest_size=16).digest() for j in at]
@@ -64,10 +65,8 @@ def _ask(shards: int):
     """Rows by shard: places that need an answer, hashes met here once or again, and places that need none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            places, owner = _places(batch)
+        for part, texts in (x for batch in batches for x in parts(batch)):
+            places, owner = _places(part, texts)
             order = np.argsort(places["h"], kind="stable")
             places, owner = places[order], owner[order]
             keys, at, of = np.unique(places["h"], return_index=True, return_inverse=True)
@@ -78,8 +77,8 @@ def _ask(shards: int):
             asked, told = places[alone[of]], places[~alone[of]]
             rows: dict[int, list] = {}
             for what, h in ((0, asked["h"]), (1, keys[~alone]), (2, keys[several])):
-                for s, part in blooms.by_shard(h, shards):
-                    rows.setdefault(s, [b""] * 4)[what] = (asked[part] if what == 0 else h[part]).tobytes()
+                for s, some in blooms.by_shard(h, shards):
+                    rows.setdefault(s, [b""] * 4)[what] = (asked[some] if what == 0 else h[some]).tobytes()
             spread = blooms.shard_of(told["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), shards)
             for s in np.unique(spread).tolist():
                 rows.setdefault(s, [b""] * 4)[3] = told[spread == s].tobytes()

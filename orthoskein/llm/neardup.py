@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..scratch import stash, unstash
-from .textkernel import U, mix, shingle_sets, slices
+from .textkernel import U, mix, parts, shingle_sets
 
 WIDTH = 5
 GROUPS = 11
@@ -70,19 +70,15 @@ def _class(items: np.ndarray) -> bytes:
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        ids = batch.column("doc_id")
-        for a, b in slices([t or b"" for t in texts], 1 << 22):
-            sets = list(shingle_sets(texts[a:b], WIDTH))
-            keys = np.zeros((b - a, 2 * GROUPS), np.uint64)
+        for part, texts in parts(batch):
+            sets = list(shingle_sets(texts, WIDTH))
+            keys = np.zeros((len(texts), 2 * GROUPS), np.uint64)
             full = [i for i, s in enumerate(sets) if len(s)]
             keys[full] = signatures([sets[i] for i in full])
             flat = pa.array(keys.view(np.int64).reshape(-1))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * 2 * GROUPS + 1, 2 * GROUPS, dtype=np.int32)), flat)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a), pa.array([_class(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), lists],
-                names=["doc_id", "cls", "n", "keys"],
-            )
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(texts) * 2 * GROUPS + 1, 2 * GROUPS, dtype=np.int32)), flat)
+            columns = [part.column("doc_id"), pa.array([_class(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "cls", "n", "keys"])
 
 
 def parities(items: np.ndarray) -> np.ndarray:
@@ -95,11 +91,10 @@ def parities(items: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingle sets by class, with their bitmaps; one row for equal sets of a batch's slice."""
+    """Shingle sets by class, with their bitmaps; one row for equal sets of a part of a batch."""
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        for a, b in slices([t or b"" for t in texts], 1 << 22):
-            found = {_class(s): s for s in shingle_sets(texts[a:b], WIDTH)}
+        for _, texts in parts(batch):
+            found = {_class(s): s for s in shingle_sets(texts, WIDTH)}
             columns = [pa.array([f(s) for s in found.values()], pa.list_(pa.int64())) for f in (lambda s: s.view(np.int64), parities)]
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), *columns], names=["cls", "items", "bits"])
 

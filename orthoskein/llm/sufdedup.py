@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..scratch import input_bytes, shuffle_width, stash
 from . import blooms
 from .induced import IN_MEMORY, sorted_suffixes
-from .textkernel import BASE, BYTE_CODE, U, mix, powers, slices
+from .textkernel import BASE, BYTE_CODE, U, mix, parts, powers, slices
 
 LENGTH = 100
 GRAM = 50
@@ -104,10 +104,6 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield anchor, digest, owner, starts - begin[piece] + offset, ends - starts
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-
-
 _ROW = np.dtype([("anchor", "u8"), ("digest", "u8"), ("doc", "i8"), ("stamp", "i8"), ("start", "i8"), ("size", "i4")])
 #: ``bin`` is where the bytes of a wanted segment are sorted; -1 for spans that go.
 SPANS = "doc_id long, stamp long, start long, stop long, bin long"
@@ -142,15 +138,14 @@ def _ask(shards: int):
     """Segments by shard of their anchor: the first of each kind, and others (certain repeats, spread over all shards)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found = _texts(batch), []
-            for a, b in slices(texts, 8 * PIECE):
-                docs, stamps = (np.asarray(batch.column(c))[a:b] for c in ("doc_id", "stamp"))
-                for anchor, digest, owner, start, size in segments(texts[a:b]):
-                    part = np.empty(len(anchor), _ROW)
-                    for name, values in zip(_ROW.names, (anchor, digest, docs[owner], stamps[owner], start, size), strict=True):
-                        part[name] = values
-                    found.append(part)
+        for batch, texts in (x for batch in batches for x in parts(batch)):
+            found = []
+            docs, stamps = (np.asarray(batch.column(c)) for c in ("doc_id", "stamp"))
+            for anchor, digest, owner, start, size in segments([t or b"" for t in texts]):
+                part = np.empty(len(anchor), _ROW)
+                for name, values in zip(_ROW.names, (anchor, digest, docs[owner], stamps[owner], start, size), strict=True):
+                    part[name] = values
+                found.append(part)
             if not found:
                 continue
             rows, first = _firsts(np.concatenate(found))
@@ -206,15 +201,15 @@ def _judge(shards: int):
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the wanted segments."""
-    for batch in batches:
-        rows, starts, bins, parts = [], [], [], []
-        for i, (text, spans) in enumerate(zip(_texts(batch), batch.column("spans").to_pylist(), strict=True)):
+    for batch, texts in (x for batch in batches for x in parts(batch)):
+        rows, starts, bins, found = [], [], [], []
+        for i, (text, spans) in enumerate(zip(texts, batch.column("spans").to_pylist(), strict=True)):
             rows += [i] * len(spans)
             starts += [x["start"] for x in spans]
             bins += [x["bin"] for x in spans]
-            parts += [text[x["start"] : x["stop"]] for x in spans]
+            found += [(text or b"")[x["start"] : x["stop"]] for x in spans]
         at = np.array(rows, np.int64)
-        columns = [pa.array(bins, pa.int64()), *(pa.array(np.asarray(batch.column(c))[at]) for c in ("doc_id", "stamp")), pa.array(starts, pa.int64()), pa.array(parts, pa.binary())]
+        columns = [pa.array(bins, pa.int64()), *(pa.array(np.asarray(batch.column(c))[at]) for c in ("doc_id", "stamp")), pa.array(starts, pa.int64()), pa.array(found, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["bin", "doc_id", "stamp", "start", "bytes"])
 
 
@@ -284,9 +279,9 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch, texts in (x for batch in batches for x in parts(batch)):
         out = []
-        for text, starts, stops in zip(_texts(batch), batch.column("starts").to_pylist(), batch.column("stops").to_pylist(), strict=True):
+        for text, starts, stops in zip((t or b"" for t in texts), batch.column("starts").to_pylist(), batch.column("stops").to_pylist(), strict=True):
             kept, at, removed, runs = [], 0, 0, 0
             for a, b in sorted(zip(starts or [], stops or [], strict=True)):
                 a, b = max(a, at), min(b, len(text))

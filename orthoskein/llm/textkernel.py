@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes hashed at once; longer texts are cut at white space.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
+#: Text bytes of a batch that a kernel holds as Python objects at a time.
+PART = 1 << 22
 BASE = 0x9E3779B97F4A7C15 | 1
 U = np.uint64
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -84,6 +88,21 @@ def slices(texts: list[bytes], most: int = BLOCK) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Consecutive pieces of a batch with about PART text bytes each, and their texts; a text is never cut.
+
+    A batch holds a number of rows whatever their length, so this bounds what a
+    kernel needs beside the longest text. ``column`` may be a field of ``row``.
+    """
+    texts = batch.column(column) if column in batch.schema.names else pc.struct_field(batch.column("row"), column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART, side="right")))
+        yield batch.slice(at, end - at), texts.slice(at, end - at).cast(pa.binary()).to_pylist()
+        at = end
+
+
 def shingle_sets(texts: list[bytes | None], width: int = 5) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its ``width``-word shingles.
 
