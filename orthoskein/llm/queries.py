@@ -61,6 +61,35 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_sentencepiece, op3_fingerprint, op4_warc, op5_near_dedup, op6_line_dedup, op7_mixing, op8_nearest, op9_suffix_dedup, op10_pii)}
 
 ORACLES = {
+    # Base32 of a SHA-1 in hex: its bits five at a time.
+    "op4_warc": r"""
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+known AS (SELECT html, max(page_id) AS last, count(*) AS c FROM bodies GROUP BY html),
+digests AS (
+    SELECT html, array_to_string(list_transform(string_split(sha1(html), ''), lambda c: lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0')), '') AS bits FROM known
+)
+SELECT b.page_id, strlen(b.html)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+           16 * substr(d.bits, 5 * i + 1, 1)::INT + 8 * substr(d.bits, 5 * i + 2, 1)::INT + 4 * substr(d.bits, 5 * i + 3, 1)::INT + 2 * substr(d.bits, 5 * i + 4, 1)::INT + substr(d.bits, 5 * i + 5, 1)::INT), 1)), '') AS payload_digest,
+       CASE WHEN b.page_id = k.last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN b.page_id <> k.last THEN k.last END AS refers_to
+FROM bodies b JOIN known k USING (html) JOIN digests d USING (html)
+""",
+    "op5_near_dedup": r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), placed AS (
+    SELECT doc_id, words, unnest(range(1, CASE WHEN len(words) >= 5 THEN len(words) - 3 WHEN len(words) > 0 THEN 2 ELSE 1 END)) AS i FROM split
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(words) >= 5 THEN words[i:i + 4] ELSE words END, ' ') AS s FROM placed
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT w.y, r.root FROM reach r JOIN ways w ON w.x = r.doc_id),
+least AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d LEFT JOIN sizes n USING (doc_id) JOIN least l USING (doc_id)
+""",
     "op6_line_dedup": r"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
