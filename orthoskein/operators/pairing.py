@@ -42,6 +42,18 @@ def sequential_pairs(nodes: DataFrame, key: str = "image_id", by: list[str] | No
     return nodes.select(*(by or []), F.col(key).alias("src"), F.lead(key).over(order).alias("dst")).where("dst is not null")
 
 
+def numbered_edges(edges: DataFrame) -> DataFrame:
+    """(edge_ord, src, dst): edges in the order of src and dst, from 0.
+
+    Ranks within a source, plus the number of edges of lesser sources; only the
+    sources' counts are summed in one task.
+    """
+    within = edges.select("src", "dst", F.row_number().over(Window.partitionBy("src").orderBy("dst")).alias("place"))
+    counts = edges.groupBy("src").agg(F.count("*").alias("c"))
+    before = counts.select("src", (F.sum("c").over(Window.orderBy("src")) - F.col("c")).alias("before"))
+    return within.join(before, "src").select((F.col("before") + F.col("place") - 1).alias("edge_ord"), "src", "dst")
+
+
 def all_pairs(nodes: DataFrame) -> DataFrame:
     """Every pair of a bounded set of nodes, src < dst. The result is quadratic by definition."""
     a, b = nodes.select(F.col("image_id").alias("src")), nodes.select(F.col("image_id").alias("dst"))

@@ -171,6 +171,28 @@ def blend(tiles: DataFrame) -> DataFrame:
     return tiles.groupBy("ty", "tx").applyInPandas(_blend, "ty int, tx int, rgb binary")
 
 
+def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(r.image_id, int((np.frombuffer(r.mask, np.uint8) > 0).sum()), int(np.frombuffer(r.rgb, np.uint8).sum(dtype=np.int64))) for r in batch.itertuples()]
+        yield pd.DataFrame(rows, columns=["image_id", "pixels", "total"])
+
+
+def pixel_sums(tiles: DataFrame) -> DataFrame:
+    """(image_id, pixels, total): covered pixels of each warped image and the sum of their values."""
+    parts = tiles.select("image_id", "rgb", "mask").mapInPandas(_sums, "image_id long, pixels long, total long")
+    return parts.groupBy("image_id").agg(F.sum("pixels").alias("pixels"), F.sum("total").alias("total"))
+
+
+def _shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"image_id": batch["image_id"], "share": [float(np.frombuffer(a, np.float32).sum(dtype=np.float64)) for a in batch["alpha"]]})
+
+
+def share_sums(alphas: DataFrame) -> DataFrame:
+    """(image_id, share): pixels that each image makes up, counted by its shares."""
+    return alphas.select("image_id", "alpha").mapInPandas(_shares, "image_id long, share double").groupBy("image_id").agg(F.sum("share").alias("share"))
+
+
 def _alphas(tiles: pd.DataFrame) -> pd.DataFrame:
     weights = [np.frombuffer(w, np.float32).astype(np.float64) for w in tiles["weight"]]
     total = np.sum(weights, axis=0)

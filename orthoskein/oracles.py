@@ -167,6 +167,16 @@ told AS (
 ), means AS (SELECT step, node, atan2(sum(sin(h)), sum(cos(h))) AS m FROM turned GROUP BY step, node HAVING count(*) >= 3),
 zs AS (SELECT step, abs({_WRAP.format("(h - m)")}) / radians(1.691) AS z FROM turned JOIN means USING (step, node))"""
 
+def _few(sql: str) -> str:
+    """The survey with an image for each supplier."""
+    return sql.replace("c_custkey", "s_suppkey").replace("FROM customer", "FROM supplier")
+
+
+_STRIP = """
+strip AS (SELECT n_nationkey::BIGINT AS image_id, n_nationkey * 37 % 200 + 20 AS grey FROM nation),
+seams AS (SELECT a.image_id AS src, b.image_id AS dst, 8 * (10 - 6 * (b.image_id - a.image_id)) * 3 AS n, abs(a.grey - b.grey) / 255.0::DOUBLE AS d FROM strip a JOIN strip b ON b.image_id = a.image_id + 1)"""
+
+
 ORACLES = {
     "inlier_stats_by_pair": "SELECT l_orderkey AS pair, count(*) FILTER (l_returnflag <> 'R') AS inlier_count, count(*) AS match_count, round(count(*) FILTER (l_returnflag <> 'R')::DOUBLE / count(*), 9) AS inlier_ratio FROM lineitem GROUP BY 1",
     "inlier_stats_global": "SELECT count(*) FILTER (l_returnflag <> 'R') AS inlier_count, count(*) AS match_count, round(count(*) FILTER (l_returnflag <> 'R')::DOUBLE / count(*), 9) AS inlier_ratio FROM lineitem",
@@ -311,4 +321,41 @@ kinds AS (
 WITH {_NODES} SELECT src, dst, round({_WRAP.format("(radians(yb) - radians(ya))")}, 6) AS turn, floor(src / 15.0)::BIGINT AS component
 FROM pairs WHERE src % 4 <> 2 AND dst % 4 <> 2 AND floor(src / 15.0) = floor(dst / 15.0)""",
     "rounded_half_even": "SELECT round_even(floor(l_quantity) / 2, 0)::BIGINT AS grey, count(*) AS n FROM lineitem GROUP BY 1",
+    "rotation_averages": f"""
+WITH {_NODES}, ids AS (SELECT image_id, (image_id % 5)::DOUBLE AS p, floor(image_id / 5.0) AS line FROM survey), firsts AS (SELECT line, min(image_id) AS least, arg_min(p, image_id) AS p0, count(*) AS n FROM ids GROUP BY line)
+SELECT image_id AS node, round({_WRAP.format("(0.7::DOUBLE * (p * p - p0 * p0))")}, 6) + 0.0 AS angle, least AS component FROM ids JOIN firsts USING (line) WHERE n > 1""",
+    "anchored_rotations": f"""
+WITH {_NODES}, ids AS (SELECT image_id, floor(image_id / 5.0) AS line FROM survey), lines AS (SELECT line, min(image_id) AS least, count(*) AS n FROM ids GROUP BY line)
+SELECT image_id AS node, round(0.05::DOUBLE * (image_id - least) + CASE WHEN line % 2 = 0 THEN 0.001::DOUBLE * line - 0.5 ELSE 0 END, 6) + 0.0 AS angle
+FROM ids JOIN lines USING (line) WHERE n > 1 OR image_id % 10 = 0""",
+    "matched_homographies": _few(f"""
+WITH {_NODES} SELECT src, dst, round(p, 4) + 0.0 AS h00, round(q, 4) + 0.0 AS h01, round(tx, 4) + 0.0 AS h02, round(r, 4) + 0.0 AS h10, round(s, 4) + 0.0 AS h11, round(ty, 4) + 0.0 AS h12,
+       10::BIGINT AS match_count, 9::BIGINT AS inlier_count, NULL::VARCHAR AS error FROM false_edges"""),
+    "lag_estimate": "SELECT 2.3::DOUBLE AS lag_m, 'estimated' AS status, NULL::VARCHAR AS reason",
+    "global_poses": _few(f"""
+WITH {_NODES}, zero AS (SELECT e AS e0, nn AS n0 FROM survey WHERE image_id = (SELECT min(image_id) FROM survey))
+SELECT image_id, round(yaw, 1) AS turn, round(e - e0, 0) + 0.0 AS east, round(n0 - nn, 0) + 0.0 AS south FROM survey, zero"""),
+    "refined_positions": _few(f"""
+WITH {_NODES}, zero AS (SELECT e AS e0, nn AS n0 FROM survey WHERE image_id = (SELECT min(image_id) FROM survey))
+SELECT image_id, round(30.25::DOUBLE * (e - e0), 1) + 0.0 AS x, round(30.25::DOUBLE * (n0 - nn), 1) + 0.0 AS y, 'converged' AS status FROM survey, zero"""),
+    "pose_graph": _few(f"""
+WITH {_NODES}, zero AS (SELECT e AS e0, nn AS n0, yaw AS y0 FROM survey WHERE image_id = 0),
+turned AS (SELECT image_id, cos(radians(yaw - y0)) AS c, sin(radians(yaw - y0)) AS s, cos(radians(-y0)) AS bc, sin(radians(-y0)) AS bs, 30.25::DOUBLE * (e - e0) AS px, -30.25::DOUBLE * (nn - n0) AS py FROM survey, zero)
+SELECT image_id, round(c, 3) + 0.0 AS a, round(s, 3) + 0.0 AS b, round(2000 + bc * px - bs * py - (c * 2000 - s * 1500), 3) + 0.0 AS tx, round(1500 + bs * px + bc * py - (s * 2000 + c * 1500), 3) + 0.0 AS ty FROM turned"""),
+    "yaw_targets": _few(f"""
+WITH {_NODES}, zero AS (SELECT yaw AS y0 FROM survey WHERE image_id = (SELECT min(image_id) FROM survey))
+SELECT image_id, round(cos(radians(yaw - y0)), 6) + 0.0 AS u, round(sin({_WRAP.format("radians(yaw - y0)")}), 6) + 0.0 AS v FROM survey, zero"""),
+    "spread_samples": _few(f"WITH {_NODES}, {_MATCHES} SELECT src, dst, count(*) AS n, sum(k)::BIGINT AS ks FROM matches WHERE is_inlier GROUP BY src, dst"),
+    "warped_pixels": f"WITH {_STRIP} SELECT image_id, 80::BIGINT AS pixels, (240 * grey)::BIGINT AS total FROM strip",
+    "seam_differences": f"WITH {_STRIP} SELECT src, dst, round(n * d, 4) AS total, n::BIGINT AS n FROM seams",
+    "seam_error": f"WITH {_STRIP} SELECT round(sum(n * d) / sum(n), 6) AS seam_error, round(sum(n * d) / sum(n), 6) AS in_band FROM seams",
+    "blend_shares": f"WITH {_STRIP} SELECT count(*) AS images, (8 * (6 * max(image_id) + 10))::DOUBLE AS pixels FROM strip",
+    "run_pipeline": """
+SELECT run, status AS pipeline_status, n AS input_image_count, ok AS successful_image_count, n - ok AS failed_image_count, 0::BIGINT AS inlier_count, n - ok AS listed, 'unmatched' AS method
+FROM (SELECT 'none' AS run, 'failed' AS status, 0::BIGINT AS n, 0::BIGINT AS ok UNION ALL SELECT 'one', 'success', 1, 1 UNION ALL SELECT 'unlocated', 'failed', (SELECT count(*) FROM nation), 0)""",
+    "capture_sessions": """
+WITH g AS (SELECT user_id, epoch_us(ts) AS t, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events),
+s AS (SELECT user_id, t, sum(CASE WHEN gap > 7200000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS k FROM g)
+SELECT user_id, min(t)::BIGINT AS first_us, max(t)::BIGINT AS last_us, count(*) AS n FROM s GROUP BY user_id, k""",
+    "ordered_edges": f"WITH {_NODES} SELECT row_number() OVER (ORDER BY src, dst) - 1 AS edge_ord, src, dst FROM pairs",
 }

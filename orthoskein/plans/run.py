@@ -6,6 +6,7 @@ import logging
 import time
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,15 @@ class Run:
     estimate: estimate.PoseEstimate | None = None
 
 
+class Unmatched:
+    """A matcher that finds nothing."""
+
+    name = "unmatched"
+
+    def match(self, image_a, image_b) -> matching.MatchResult:
+        return matching.MatchResult(np.zeros((0, 2)), np.zeros((0, 2)))
+
+
 def default_pairs(images: DataFrame, config: RunConfig) -> DataFrame:
     """The given pairs; else all closer than 40 m where there are positions, else neighbours in order."""
     if config.pairs is not None:

@@ -23,9 +23,9 @@ COURSE = math.radians(77.0)
 YAW_EVEN, YAW_ODD = 64.5, -115.5
 
 
-def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """image_id, rows, cols, lat, lon, t, yaw and true metres e, nn."""
-    s = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("image_id"))
+def nodes(spark: SparkSession, sf_dir: str, table: str = "customer", key: str = "c_custkey") -> DataFrame:
+    """image_id, rows, cols, lat, lon, t, yaw and true metres e, nn; an image for each row of ``table``."""
+    s = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.col(key).alias("image_id"))
     line, place = F.floor(F.col("image_id") / 5), F.col("image_id") % 5
     step = F.when(line % 2 == 0, place).otherwise(4 - place) * 13.4
     side = line * 27.0

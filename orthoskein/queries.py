@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from .functions.geometry import matrix, project, wrap, yaw_from
 from .functions.geometry import pixels_per_metre as pinhole_scale
-from .operators import headings, lag, metrics, pairing, posegraph, raster, refine, report, rotation, segments, sets
+from .operators import headings, lag, matching, metrics, pairing, posegraph, raster, refine, report, rotation, segments, sets
 from .operators.components import components
-from .plans import estimate, photos, survey
+from .plans import estimate, photos, run, survey
 from .sources import exif, metadata
+from .streaming import sessions
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -379,6 +380,160 @@ def rounded_half_even(spark, sf_dir):
     return _table(spark, sf_dir, "lineitem").groupBy(F.rint(half).cast("long").alias("grey")).agg(F.count("*").alias("n"))
 
 
+def _few(spark, sf_dir):
+    """A survey with an image for each supplier: for solvers that take one graph in one task."""
+    return survey.nodes(spark, sf_dir, "supplier", "s_suppkey")
+
+
+def rotation_averages(spark, sf_dir):
+    """Angles of each line of flight from consistent turns between all its images."""
+    ids = survey.nodes(spark, sf_dir).select("image_id", (F.col("image_id") % 5).cast("double").alias("p"), F.floor(F.col("image_id") / 5).alias("line"))
+    a = ids.select(F.col("image_id").alias("src"), F.col("p").alias("pa"), "line")
+    b = ids.select(F.col("image_id").alias("dst"), F.col("p").alias("pb"), "line")
+    turn = wrap(0.7 * (F.col("pb") * F.col("pb") - F.col("pa") * F.col("pa")))
+    links = a.join(b, "line").where("src < dst").select("src", "dst", turn.alias("theta"), (1.0 + F.col("src") % 3).alias("weight"))
+    out = rotation.rotation_averaging(links)
+    return out.select("node", F.round("angle", 6).alias("angle"), "component")
+
+
+def anchored_rotations(spark, sf_dir):
+    """The same lines with an absolute heading for the first image of every other line."""
+    nodes = survey.nodes(spark, sf_dir).select("image_id", F.floor(F.col("image_id") / 5).alias("line"))
+    links = nodes.join(nodes.select((F.col("image_id") - 1).alias("image_id"), F.col("line").alias("other")), "image_id").where("line = other")
+    turns = links.select(F.col("image_id").alias("src"), (F.col("image_id") + 1).alias("dst"), F.lit(0.05).alias("theta"), F.lit(1.0).alias("weight"))
+    anchors = nodes.where("image_id % 10 = 0").select(F.col("image_id").alias("node"), (0.001 * F.col("line") - 0.5).alias("angle"), F.lit(1.0).alias("weight"))
+    return rotation.anchored_averaging(turns, anchors).select("node", F.round("angle", 6).alias("angle"))
+
+
+def matched_homographies(spark, sf_dir):
+    """Homographies estimated from nine exact points of each edge and one that is far off."""
+    links = survey.edges(_few(spark, sf_dir), True)
+    x, y = project(matrix(), F.col("sx"), F.col("sy"))
+    k = F.col("k")
+    points = links.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("sx", 700.0 + 900.0 * (k % 3) + 35.0 * F.floor(k / 3)).withColumn("sy", 500.0 + 700.0 * F.floor(k / 3))
+    told = points.select("src", "dst", "k", "sx", "sy", (x + F.when(k == 9, 90.0).otherwise(0.0)).alias("dx"), y.alias("dy"))
+    out = matching.match_edges(told)
+    return out.select("src", "dst", *[F.round(f"h{i}{j}", 4).alias(f"h{i}{j}") for i in range(2) for j in range(3)], "match_count", "inlier_count", "error")
+
+
+def lag_estimate(spark, sf_dir):
+    """The recording lag of a survey recorded 2.3 m late, found by search."""
+    true = segments.travel_directions(segments.segments(_few(spark, sf_dir), [], "t", "image_id"), [])
+    links = survey.edges(true)
+    found = lag.estimate_lag(links, segments.shift_by_lag(true, F.lit(-2.3)))
+    return spark.createDataFrame([(round(found.lag_m, 1), found.status, found.reason)], "lag_m double, status string, reason string")
+
+
+def global_poses(spark, sf_dir):
+    """The whole chain on exact edges: angles of all images, and centres relative to the first one's."""
+    nodes = _few(spark, sf_dir)
+    links = survey.edges(nodes)
+    exact = survey.matches(links).where("is_inlier").join(links, ["src", "dst"])
+    x, y = project(matrix(), F.col("sx"), F.col("sy"))
+    told = exact.select("src", "dst", "k", "sx", "sy", x.alias("dx"), y.alias("dy"), "is_inlier")
+    out = estimate.estimate_global_poses(nodes.drop("yaw", "e", "nn"), links, told, with_lag=False)
+    cx, cy = survey.COLS / 2.0, survey.ROWS / 2.0
+    centre = out.poses.select("image_id", (F.col("t00") * cx + F.col("t01") * cy + F.col("t02")).alias("x"), (F.col("t10") * cx + F.col("t11") * cy + F.col("t12")).alias("y"), F.degrees(F.atan2("t10", "t00")).alias("turn"))
+    # Directions on a sphere and on the plane part by some thousandths of a degree.
+    zero = centre.agg(F.min(F.struct("image_id", "x", "y")).alias("o")).select(F.col("o.x").alias("x0"), F.col("o.y").alias("y0"))
+    metres = lambda c, o: F.round((F.col(c) - F.col(o)) / survey.PPM, 0) + 0.0
+    return centre.crossJoin(F.broadcast(zero)).select("image_id", F.round(F.col("turn"), 1).alias("turn"), metres("x", "x0").alias("east"), metres("y", "y0").alias("south"))
+
+
+def refined_positions(spark, sf_dir):
+    """Centres refined from exact matches and positions stretched by 3 %: the scale comes out, and every edge fits."""
+    nodes = _few(spark, sf_dir)
+    links = survey.edges(nodes)
+    x, y = project(matrix(), F.col("sx"), F.col("sy"))
+    told = survey.matches(links).where("is_inlier").join(links, ["src", "dst"]).select("src", "dst", "k", "sx", "sy", x.alias("dx"), y.alias("dy"), "is_inlier")
+    posed = nodes.select("image_id", F.radians("yaw").alias("phi"), "rows", "cols", (F.col("e") * 1.03 * survey.PPM).alias("x"), (-F.col("nn") * 1.03 * survey.PPM).alias("y"))
+    near = posed.where(F.hypot("x", "y") < 1e9)
+    out = refine.refine_positions(told, links, near, near.select("image_id", "x", "y"), survey.PPM)
+    centres = spark.createDataFrame([(i, *p) for i, p in out.centres.items()], "image_id long, x double, y double")
+    first = centres.agg(F.min(F.struct("image_id", "x", "y")).alias("o")).select(F.col("o.x").alias("x0"), F.col("o.y").alias("y0"))
+    return centres.crossJoin(F.broadcast(first)).select("image_id", (F.round(F.col("x") - F.col("x0"), 1) + 0.0).alias("x"), (F.round(F.col("y") - F.col("y0"), 1) + 0.0).alias("y"), F.lit(out.status).alias("status"))
+
+
+def pose_graph(spark, sf_dir):
+    """Similarity poses of all images from exact edges in one solve, relative to the first image."""
+    nodes = _few(spark, sf_dir)
+    links = survey.edges(nodes)
+    counts = metrics.inlier_stats(survey.matches(links), ["src", "dst"])
+    out = posegraph.compose_transforms(links, nodes, counts, 0, pixels_per_meter=survey.PPM, inlier_count_reference=8.0)
+    rows = [(i, *(float(v) for v in posegraph.pose_parameters(m))) for i, m in out.poses.items()]
+    poses = spark.createDataFrame(rows, "image_id long, a double, b double, tx double, ty double")
+    return poses.select("image_id", *[(F.round(c, 3) + 0.0).alias(c) for c in ("a", "b", "tx", "ty")])
+
+
+def yaw_targets(spark, sf_dir):
+    """Direction that each image's yaw asks of its pose, relative to the first image."""
+    rows = [(r.image_id, *posegraph.yaw_target(r.yaw, r.yaw0)) for r in _few(spark, sf_dir).crossJoin(_few(spark, sf_dir).agg(F.min(F.struct("image_id", "yaw")).alias("o")).select(F.col("o.yaw").alias("yaw0"))).collect()]
+    return spark.createDataFrame(rows, "image_id long, u double, v double").select("image_id", (F.round("u", 6) + 0.0).alias("u"), (F.round("v", 6) + 0.0).alias("v"))
+
+
+def spread_samples(spark, sf_dir):
+    """At most 30 spread inliers of each edge; edges with fewer keep all."""
+    links = survey.edges(_few(spark, sf_dir))
+    kept = matching.farthest_point_sample(survey.matches(links))
+    return kept.groupBy("src", "dst").agg(F.count("*").alias("n"), F.sum("k").alias("ks"))
+
+
+def _strip(spark, sf_dir):
+    """A flat image of 8 by 10 pixels for each nation, each 6 pixels to the right of the one before."""
+    n = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("image_id"))
+    grey = F.lpad(F.hex(F.col("image_id") * 37 % 200 + 20), 2, "0")
+    images = n.select("image_id", F.lit(8).alias("height"), F.lit(10).alias("width"), F.unhex(F.repeat(grey, 240)).alias("rgb"))
+    one, zero = F.lit(1.0), F.lit(0.0)
+    cells = [one, zero, (6 * F.col("image_id")).cast("double"), zero, one, zero, zero, zero, one]
+    poses = n.select("image_id", F.lit(8).alias("rows"), F.lit(10).alias("cols"), *[c.alias(f"t{k // 3}{k % 3}") for k, c in enumerate(cells)])
+    return images, poses
+
+
+def warped_pixels(spark, sf_dir):
+    """Pixels and their sum, of each image warped onto the common canvas."""
+    return raster.pixel_sums(raster.warp_tiles(*_strip(spark, sf_dir)))
+
+
+def seam_differences(spark, sf_dir):
+    """Summed difference over the common pixels of images that overlap."""
+    out = raster.seam_differences(raster.warp_tiles(*_strip(spark, sf_dir)))
+    return out.select("src", "dst", F.round("total", 4).alias("total"), "n")
+
+
+def seam_error(spark, sf_dir):
+    tiles = raster.warp_tiles(*_strip(spark, sf_dir))
+    whole, band = raster.seam_error(tiles), raster.seam_error(tiles, raster.alphas(tiles))
+    return whole.select(F.round("seam_error", 6).alias("seam_error")).crossJoin(band.select(F.round("seam_error", 6).alias("in_band")))
+
+
+def blend_shares(spark, sf_dir):
+    """The images' shares of all pixels add up to the covered pixels."""
+    return raster.share_sums(raster.alphas(raster.warp_tiles(*_strip(spark, sf_dir)))).agg(F.count("*").alias("images"), F.round(F.sum("share"), 2).alias("pixels"))
+
+
+def run_pipeline(spark, sf_dir):
+    """Statuses of whole runs over no image, one image, and images without positions."""
+    images, _ = _strip(spark, sf_dir)
+    images = images.select("image_id", F.col("height").alias("rows"), F.col("width").alias("cols"), "rgb")
+    out = None
+    for name, some in (("none", images.where("image_id < 0")), ("one", images.where("image_id = 3")), ("unlocated", images)):
+        row = run.run_pipeline(some, run.Unmatched()).metrics.select(F.lit(name).alias("run"), "pipeline_status", "input_image_count", "successful_image_count", "failed_image_count", "inlier_count", F.size("failed_image_indices").cast("long").alias("listed"), "method")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def capture_sessions(spark, sf_dir):
+    """Sessions of each user, ended by two hours without an event."""
+    rows = _table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    out = sessions.capture_sessions(rows, "ts", "user_id", "2 hours")
+    return out.select("user_id", F.unix_micros("first").alias("first_us"), F.unix_micros("last").alias("last_us"), "n")
+
+
+def ordered_edges(spark, sf_dir):
+    """Edges numbered in the order of their ends."""
+    return pairing.numbered_edges(pairing.proximity_pairs(survey.nodes(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -389,6 +544,7 @@ QUERIES = {
         exif_gps_fields, gps_positions, exif_latlons, capture_times, gimbal_yaws, camera_attributes, projected_positions, gps_placement, pixels_per_metre,
         usable_edges, edge_weights, heading_anchors, plain_heading_anchors, component_offsets, aligned_poses, numbered_components, failure_reasons, canvas_size,
         canvas_boxes, overlapping_footprints, finite_transforms, summary_metrics, lag_objective, huber_losses, edge_sigmas, relative_maps, node_sets,
-        edge_endpoints, rounded_half_even,
+        edge_endpoints, rounded_half_even, rotation_averages, anchored_rotations, matched_homographies, lag_estimate, global_poses, refined_positions, pose_graph,
+        yaw_targets, spread_samples, warped_pixels, seam_differences, seam_error, blend_shares, run_pipeline, capture_sessions, ordered_edges,
     )
 }
