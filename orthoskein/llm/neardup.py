@@ -135,7 +135,7 @@ def pivot_pairs(classes: DataFrame) -> DataFrame:
 def _class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(cls, items) of every class of ``pairs``, from the texts of its least doc_id."""
     wanted = pairs.select("cls").unionByName(pairs.select(F.col("pivot").alias("cls"))).distinct()
-    wanted = stash(classes.select("cls", F.col("rep").alias("doc_id")).join(wanted, "cls", "left_semi"), "nd-wanted")
+    wanted = classes.select("cls", F.col("rep").alias("doc_id")).join(wanted, "cls", "left_semi")
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "cls binary, items array<long>, bits array<long>").join(wanted.select("cls"), "cls", "left_semi")
     return stash(sets.groupBy("cls").agg(F.first("items").alias("items"), F.first("bits").alias("bits")), "nd-sets")
@@ -209,7 +209,7 @@ def near_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
 
     tested = stash(_met(pairs, sets).withColumn("linked", _links(percent)), "nd-tested")
     judged = stash(_open_differences(tested, percent), "nd-judged")
-    links = stash(named(tested.where("linked").select("cls", "pivot")), "nd-links")
+    links = named(tested.where("linked").select("cls", "pivot"))
     if judged.where("not linked").isEmpty():
         return links
     # One class a shared element first: it connects what belongs to the same text that is not the pivot.
@@ -220,11 +220,11 @@ def near_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
     links = stash(links.unionByName(named(_confirmed(second, sets, percent))), "nd-links")
     group = components(links)
     labels = reps.join(judged.select("cls").distinct(), "cls", "left_semi").join(group, F.col("rep") == F.col("node"), "left")
-    labels = stash(labels.select("cls", F.coalesce("component", "rep").alias("g")), "nd-labels")
+    labels = labels.select("cls", F.coalesce("component", "rep").alias("g"))
     outer, every = _meetings(judged.join(labels, "cls"), [*what, "g"])
     third = outer.join(every, ["pivot", "e"]).where((F.col("g") != F.col("g2")) & (F.col("linked") | (F.col("cls") < F.col("cls2"))) & _may_link(percent))
     third = third.select("cls", F.col("cls2").alias("pivot")).distinct()
-    return stash(links.unionByName(named(_confirmed(third, sets, percent))), "nd-links")
+    return links.unionByName(named(_confirmed(third, sets, percent)))
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT, prints: DataFrame | None = None) -> DataFrame:
