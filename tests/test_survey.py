@@ -45,9 +45,9 @@ def test_loop_and_inliers(spark):
     loops = spark.createDataFrame([("a", k, n) for k, n in enumerate((0, 1, 2, 0))] + [("b", k, n) for k, n in enumerate((0, 9, 0))], "loop_id string, step int, image_id long")
     assert metrics.cycle_error(loops, edges).first()[0] == pytest.approx(3.0)
     assert metrics.cycle_error(loops.where("loop_id = 'b'"), edges).first()[0] is None
-    rows = [(i % 2, i < 82) for i in range(110)]
+    rows = [(i % 2, i % 8 != 3 and i < 65) for i in range(96)]
     row = metrics.inlier_stats(spark.createDataFrame(rows, "pair int, is_inlier boolean")).first()
-    assert (row.inlier_count, row.inlier_ratio) == (82, pytest.approx(82 / 110))
+    assert (row.inlier_count, row.inlier_ratio) == (57, pytest.approx(57 / 96))
 
 
 @pytest.mark.parametrize("one_task", [10**6, 0])
@@ -95,9 +95,9 @@ def test_ransac_and_spread_sample():
     got, mask = matching.ransac_homography(a, b)
     assert np.allclose(got, h, atol=1e-6) and mask.sum() == len(a) - 6 and not mask[:6].any()
     assert matching.ransac_homography(a[:3], b[:3])[0] is None
-    grid = np.array([[x, y] for y in range(3) for x in range(3)], float)
-    assert matching.farthest_points(grid, 4) == [0, 8, 2, 6]
-    assert matching.farthest_points(np.array([[x, 0.0] for x in range(5)]), 3) == [0, 4, 2]
+    # All corners are as far from the middle: the first; then the one across; then the middle, which beats the near corners.
+    assert matching.farthest_points(np.array([[0, 0], [10, 0], [0, 4], [10, 4], [5, 2]], float), 3) == [0, 3, 4]
+    assert matching.farthest_points(np.array([[x, 0.0] for x in (0, 1, 2, 6, 7)]), 3) == [4, 0, 2]
 
 
 def test_edge_distance():
