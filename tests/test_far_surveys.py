@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from orthoskein import queries
+from orthoskein.operators import refine
 from orthoskein.oracles import ORACLES
 
 #: Three lines of flight at the start and three some 27 km further on.
@@ -27,3 +28,20 @@ def equals_sql(spark, folder, name):
 
 def test_global_poses_keep_to_the_plane(spark, folder):
     equals_sql(spark, folder, "global_poses")
+
+
+def test_refined_positions_find_the_scale(spark, folder):
+    """0.3 % of 27 km are 81 m, where a box around the stretched position reaches 5 m."""
+    equals_sql(spark, folder, "refined_positions")
+
+
+def test_boxes_at_the_scale_of_the_edges():
+    """Images 100 m apart to 20 km, positions stretched by 1 %; one recorded 20 m off is held within 5 m of its place at that scale."""
+    ppm, truth = 30.0, {i: (3000.0 * i, 40.0 * (i % 3)) for i in range(200)}
+    offsets = [(i, i + 1, truth[i][0] - truth[i + 1][0], truth[i][1] - truth[i + 1][1]) for i in range(199) for _ in range(4)]
+    placed = {i: (1.01 * x, 1.01 * y + (606.0 if i == 150 else 0.0)) for i, (x, y) in truth.items()}
+    sigmas = dict.fromkeys([(i, i + 1) for i in range(199)], 0.1)
+    out = refine.refine(offsets, sigmas, placed, ppm, rescale=True)
+    assert out.status == "converged" and out.kappa == pytest.approx(1 / 1.01, rel=1e-6) and {150} <= out.held <= set(range(145, 156))
+    assert out.centres[150][1] == pytest.approx(placed[150][1] / 1.01 - 5.0 * ppm, abs=1e-6)
+    assert max(abs(out.centres[i][0] - truth[i][0]) for i in truth) < 1.0
